@@ -81,13 +81,13 @@ def range_label(c: Column | str, minutes: int = 5) -> Column:
 def field_from_concat(c: Column | str, key: str, sep: str = "|") -> Column:
     """Value of the first 'key=value' entry of a separated text; NULL when there is none."""
     s = re.escape(sep)
-    found = F.regexp_extract(_col(c), rf"(?:^|{s})\Q{key}\E=([^={s}]+)(?={s}|$)", 1)
+    found = F.regexp_extract(_col(c), rf"(?:^|{s})\Q{key}\E=([^={s}]+)=*(?={s}|$)", 1)
     return F.nullif(found, F.lit(""))
 
 
 def map_from_concat(c: Column | str, sep: str = "|") -> Column:
     """All 'key=value' entries as a map; of a repeated key the last value stays."""
-    pairs = F.transform(F.split(_col(c), re.escape(sep)), lambda e: F.split(e, "="))
+    pairs = F.transform(F.split(_col(c), re.escape(sep)), lambda e: F.split(F.regexp_replace(e, "=+$", ""), "="))
     pairs = F.filter(pairs, lambda p: F.size(p) == 2)
     keys = F.array_distinct(F.transform(pairs, lambda p: p[0]))
     last = lambda k: F.element_at(F.filter(pairs, lambda p: p[0] == k), -1)[1]

@@ -13,7 +13,7 @@ each key along its own order, for example by hour:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,45 +21,33 @@ from pyspark.sql import functions as F
 PART_SIZE = 100_000
 
 
-def slice_offsets(
-    df: DataFrame, keys: Sequence[str], slice_: Column, whole: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """Per (key, slice): rows of the key before the slice, and the maximum over the key of each ``whole`` column.
+def slice_offsets(df: DataFrame, keys: Sequence[str], slice_: Column) -> DataFrame:
+    """Per (key, slice), as one struct column ``_group``: the rows of the key ``_before`` the slice.
 
-    The pair is one struct column ``_group``, so that a NULL key still joins with itself.
+    In a struct a NULL key still joins with itself.
     """
-    whole = dict(whole or {})
-    counts = df.groupBy(F.struct(*keys, slice_.alias("_slice")).alias("_group")).agg(
-        F.count("*").alias("_rows"), *[F.max(c).alias(n) for n, c in whole.items()]
-    )
-    of_key = Window.partitionBy(*[F.col(f"_group.{k}") for k in keys])
-    earlier = of_key.orderBy("_group._slice").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        "_group",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        *[F.max(n).over(of_key).alias(n) for n in whole],
+    counts = df.groupBy(F.struct(*keys, slice_.alias("_slice")).alias("_group")).agg(F.count("*").alias("_rows"))
+    earlier = (
+        Window.partitionBy(*[F.col(f"_group.{k}") for k in keys])
+        .orderBy("_group._slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    return counts.select("_group", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
 
 
 def number_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column | str],
-    slice_: Column,
-    name: str = "pos",
-    whole: Mapping[str, Column] | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], slice_: Column, name: str = "pos"
 ) -> DataFrame:
-    """Add the position (from 1) of each row in its key.
+    """Add the position (from 1) of each row in its key. ``slice_`` must never decrease along ``order``.
 
-    ``slice_`` must never decrease along ``order``. ``whole`` adds maxima over the key, at no extra shuffle.
+    The rows are shuffled and sorted once: the join with the offsets uses the partitions and the order of the ranking.
     """
-    offsets = slice_offsets(df, keys, slice_, whole)
-    grouped = df.withColumn("_group", F.struct(*keys, slice_.alias("_slice")))
     rank = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
+    ranked = df.withColumn("_group", F.struct(*keys, slice_.alias("_slice"))).withColumn("_rank", rank)
     return (
-        grouped.join(offsets, "_group")
-        .withColumn(name, F.col("_before") + rank)
-        .drop("_group", "_before")
+        ranked.join(slice_offsets(df, keys, slice_), "_group")
+        .withColumn(name, F.col("_before") + F.col("_rank"))
+        .drop("_group", "_before", "_rank")
     )
 
 
@@ -69,13 +57,20 @@ def list_in_parts(
     item: Column,
     sep: str,
     name: str,
-    keep: Sequence[str] = (),
+    last: str | None = None,
     part_size: int = PART_SIZE,
 ) -> DataFrame:
-    """Join the items of each key in order of ``pos``, at most ``part_size`` of them per row."""
+    """Join the items of each key in order of ``pos``, at most ``part_size`` of them per row.
+
+    ``last`` is a column whose value at the last item of the part is kept.
+    """
     part = F.floor((F.col("pos") - 1) / part_size).cast("bigint").alias("part")
-    rows = F.sort_array(F.collect_list(F.struct("pos", item.alias("item"))))
-    return numbered.groupBy(*keys, part).agg(
-        *[F.max(k).alias(k) for k in keep],
-        F.array_join(F.transform(rows, lambda r: r["item"]), sep).alias(name),
+    kept = [] if last is None else [F.col(last)]
+    rows = F.sort_array(F.collect_list(F.struct("pos", item.alias("item"), *kept)))
+    grouped = numbered.groupBy(*keys, part).agg(rows.alias("_rows"))
+    return grouped.select(
+        *keys,
+        "part",
+        *[F.element_at("_rows", -1)[last].alias(last) for _ in kept],
+        F.array_join(F.transform("_rows", lambda r: r["item"]), sep).alias(name),
     )

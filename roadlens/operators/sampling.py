@@ -37,7 +37,7 @@ def hourly_share(passages: DataFrame) -> DataFrame:
 
 def sample_quota(passages: DataFrame, extract_num: int) -> DataFrame:
     """Cars to draw per hour: the day's equal part of extract_num times the hour's share, never above its cars."""
-    days = passages.select(F.count_distinct(day_text("action_time"))).scalar()
+    days = hourly_distinct_cars(passages).select(F.count_distinct("date")).scalar()
     per_day = F.floor(F.lit(extract_num) / days)
     wanted = F.floor(F.col("share") * F.col("per_day")).cast("bigint")
     return (

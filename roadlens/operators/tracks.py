@@ -14,30 +14,21 @@ TIE = ("monitor_id", "camera_id")
 SLICE_SECONDS = 3600
 
 
-def in_car_order(
-    passages: DataFrame, tie: Sequence[str] = TIE, slice_seconds: int = SLICE_SECONDS, last_day: bool = False
-) -> DataFrame:
+def in_car_order(passages: DataFrame, tie: Sequence[str] = TIE, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Number each car's passages by time; equal times go by the tie columns.
 
-    No task sorts more than one car's passages of one slice. With ``last_day``, ``track_date`` is the date of the
-    car's last passage.
+    No task sorts more than one car's passages of one slice.
     """
-    columns = dict.fromkeys(["car", "monitor_id", "action_time", *(["date"] if last_day else []), *tie])
-    timed = passages.select(*columns, lenient_seconds("action_time").alias("event_sec"))
-    whole = {"_last": F.struct("event_sec", *tie, "date")} if last_day else None
-    numbered = number_within(
-        timed, ["car"], ["event_sec", *tie], F.floor(F.col("event_sec") / slice_seconds), whole=whole
+    timed = passages.select(
+        *dict.fromkeys(["car", "date", "monitor_id", "action_time", *tie]),
+        lenient_seconds("action_time").alias("event_sec"),
     )
-    if last_day:
-        numbered = numbered.withColumn("track_date", F.col("_last.date")).drop("_last")
-    return numbered
+    return number_within(timed, ["car"], ["event_sec", *tie], F.floor(F.col("event_sec") / slice_seconds))
 
 
 def car_track(passages: DataFrame, tie: Sequence[str] = TIE, part_size: int = PART_SIZE) -> DataFrame:
-    """The checkpoints each car passed, 'm1,m2,…' in time order, with the date of its last passage."""
-    numbered = in_car_order(passages, tie, last_day=True)
-    tracks = list_in_parts(numbered, ["car"], F.col("monitor_id"), ",", "track", ["track_date"], part_size)
-    return tracks.select("car", "part", F.col("track_date").alias("date"), "track")
+    """The checkpoints each car passed, 'm1,m2,…' in time order, with the date of the last of them."""
+    return list_in_parts(in_car_order(passages, tie), ["car"], F.col("monitor_id"), ",", "track", "date", part_size)
 
 
 def car_track_times(passages: DataFrame, tie: Sequence[str] = TIE, part_size: int = PART_SIZE) -> DataFrame:
