@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from roadlens.operators import areas as area_ops
 from roadlens.operators import filters, funnel, monitors, sampling, tracks
 from roadlens.operators.sizing import broadcast_if_small
-from roadlens.sinks.tables import Save, for_task
+from roadlens.sinks.tables import Save
 from roadlens.sources.tasks import JobParams
 
 Results = dict[str, DataFrame]
@@ -90,4 +90,4 @@ def convert_rate(passages: DataFrame, params: JobParams, tie: Sequence[str] = tr
 
 def run(results: Results, task_id: int, save: Save) -> None:
     for name, result in results.items():
-        save(name, for_task(result, task_id))
+        save(name, task_id, result)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Adaptive execution joins small shuffle partitions and splits skewed join sides. Numbers of partitions are left to
@@ -40,11 +38,4 @@ def local_session(cores: str = "*", **settings: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_local_folder(spark)
     return spark
-
-
-def ensure_local_folder(spark: SparkSession) -> None:
-    """Where no shared folder is named and everything runs in one process, use a temporary one."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="roadlens-"))

@@ -6,6 +6,8 @@ replaces its own folder, so writing is idempotent. The newest row of a key is it
 
 from __future__ import annotations
 
+import functools
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,11 +16,18 @@ from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it."""
+    """The folder all executors share, as the cluster names it. Only a local session may do without one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return _local_folder()
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="roadlens-")
 
 
 def create(spark: SparkSession, path: str, schema: T.StructType) -> None:

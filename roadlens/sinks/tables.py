@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from roadlens.sources.tables import jdbc_options
 
-Save = Callable[[str, DataFrame], None]
+# Saves the result of a name for a task.
+Save = Callable[[str, int, DataFrame], None]
 
 
 def for_task(result: DataFrame, task_id: int) -> DataFrame:
@@ -24,18 +25,12 @@ def append_jdbc(result: DataFrame, url: str, table: str, user: str | None = None
 
 
 def jdbc_saver(url: str, user: str | None = None, password: str | None = None) -> Save:
-    return lambda name, df: append_jdbc(df, url, name, user, password)
+    return lambda name, task_id, df: append_jdbc(for_task(df, task_id), url, name, user, password)
 
 
 def path_saver(folder: str) -> Save:
-    """Save each result under its name in a folder, replacing only the partition of the task it belongs to."""
-
-    def save(name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("task_id").parquet(
-            f"{folder}/{name}"
-        )
-
-    return save
+    """Save each result under its name, in the partition of its task. Saving again replaces that partition."""
+    return lambda name, task_id, df: df.write.mode("overwrite").parquet(f"{folder}/{name}/task_id={task_id}")
 
 
 def replace_table(result: DataFrame, table: str) -> None:

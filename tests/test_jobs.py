@@ -1,0 +1,122 @@
+import pytest
+from pyspark.sql import functions as F
+
+from roadlens.operators import sizing
+from roadlens.plans import inputs, jobs
+from roadlens.sinks import store, tables
+from roadlens.sources.tables import jdbc_options, read_list, read_passages, read_roster
+from roadlens.sources.tasks import JobParams, load_params, task_params
+
+PARAMS = JobParams(7, "2024-01-05", "2024-01-09", top_num=2, extract_num=2000, cars=("C00001",), road_flow=("0000", "0001"))
+
+
+@pytest.fixture(scope="module")
+def data(spark, folder):
+    return inputs.passages(spark, folder), inputs.roster(spark, folder), inputs.areas(spark, folder)
+
+
+def saved(spark, path):
+    return spark.read.parquet(path)
+
+
+def test_all_jobs(spark, data, tmp_path):
+    passages, roster, areas = data
+    save = tables.path_saver(str(tmp_path))
+    everything = {
+        **jobs.monitor_flow(passages, roster, PARAMS),
+        **jobs.with_the_car(passages, PARAMS, "2024-02-01"),
+        **jobs.area_top3(passages, areas, PARAMS),
+        **jobs.convert_rate(passages, PARAMS),
+    }
+    jobs.run(everything, 7, save)
+    jobs.run(jobs.random_extract(passages, PARAMS, tie=["event_id"]), 7, tables.path_saver(str(tmp_path / "sample")))
+    read = lambda name: saved(spark, f"{tmp_path}/{name}")
+    assert read("topn_monitor_car_count").count() == 2
+    days = passages.where(F.col("date").between("2024-01-05", "2024-01-09"))
+    top = [r.monitor_id for r in read("topn_monitor_car_count").collect()]
+    assert read("topn_monitor_detail_info").count() == days.where(F.col("monitor_id").isin(top)).count()
+    assert read("monitor_state").columns == [
+        "normal_monitor_count", "normal_camera_count", "abnormal_monitor_count", "abnormal_camera_count",
+        "abnormal_monitor_camera_infos", "task_id",
+    ]
+    assert read("top10_speed_detail").count() == 50
+    assert read("car_track").count() == days.select("car").distinct().count()
+    assert {r.date for r in read("car_track").select(F.col("date").cast("string")).collect()} == {"2024-02-01"}
+    assert read("areaTop3Road").count() == 21
+    assert read("monitor_convert_rate").count() == 1
+    assert {r.wanted_car for r in read("companion_cars").collect()} == {"C00001"}
+    drawn = saved(spark, f"{tmp_path}/sample/random_extract_car")
+    assert drawn.groupBy("date").count().where("count > 400").count() == 0 and drawn.count() > 0
+    cars = drawn.select("car").distinct()
+    assert saved(spark, f"{tmp_path}/sample/car_track").count() == cars.count()
+    details = saved(spark, f"{tmp_path}/sample/random_extract_car_detail_info")
+    assert details.count() == days.join(cars, "car", "left_semi").count()
+
+
+def test_saving_again_replaces_only_that_task(spark, tmp_path):
+    save = tables.path_saver(str(tmp_path))
+    for task, n in [(1, 3), (2, 4), (3, 6), (1, 5), (3, 0)]:
+        jobs.run({"r": spark.range(n)}, task, save)
+    assert {r.task_id: r["count"] for r in saved(spark, f"{tmp_path}/r").groupBy("task_id").count().collect()} == {1: 5, 2: 4}
+
+
+def test_missing_parameters(data):
+    passages, roster, areas = data
+    bare = JobParams(1, "2024-01-05", "2024-01-05")
+    with pytest.raises(ValueError, match="topNum"):
+        jobs.monitor_flow(passages, roster, bare)
+    with pytest.raises(ValueError, match="roadFlow"):
+        jobs.convert_rate(passages, bare)
+
+
+def test_task_lookup(spark, folder):
+    tasks = inputs.tasks(spark, folder)
+    row = task_params(tasks).where("area_name IS NOT NULL").first()
+    params = load_params(tasks, row.task_id)
+    assert params.start_date == row.start_date and params.cars == (row.cars,) and params.area_name == row.area_name
+    assert params.road_flow == ("0000", "0001", "0002")
+    with pytest.raises(LookupError):
+        load_params(tasks, -1)
+    with pytest.raises(ValueError):
+        load_params(spark.createDataFrame([(1, "{}")], "task_id long, task_param string"), 1)
+
+
+def test_broadcast_only_below_the_bound(spark):
+    big = spark.range(100)
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(sizing.broadcast_if_small(big, 100)) and not hinted(sizing.broadcast_if_small(big, 99))
+
+
+def test_tables_by_name_and_path(spark, data, tmp_path):
+    passages, roster, _ = data
+    tables.replace_table(roster, "monitor_camera_info")
+    tables.replace_table(roster.limit(5), "monitor_camera_info")
+    assert read_roster(spark).count() == 5
+    spark.sql("DROP TABLE monitor_camera_info")
+    passages.write.json(str(tmp_path / "p"))
+    assert read_passages(spark, str(tmp_path / "p"), "json").count() == passages.count()
+    (tmp_path / "list.txt").write_text("A\n\n B \n")
+    assert [r.car for r in read_list(spark, str(tmp_path / "list.txt"), "car").collect()] == ["A", "B"]
+
+
+def test_jdbc_options():
+    assert jdbc_options("jdbc:x", "t", "u", None, batchsize=10) == {
+        "url": "jdbc:x", "dbtable": "t", "user": "u", "batchsize": "10",
+    }
+
+
+class Session:
+    """As much of a session as the choice of the folder looks at."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_shared_folder(spark):
+    assert store.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert store.shared_folder(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert store.shared_folder(Session("local[4]", "/named")) == "/named"
+    with pytest.raises(RuntimeError):
+        store.shared_folder(Session("yarn"))
+    assert store.shared_folder(Session("local[4]")) == store.shared_folder(Session("local[4]"))
