@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import day_text, hour_text
 from roadlens.operators.ordering import slice_offsets
-from roadlens.operators.tracks import TIE, car_track
 
 # A sample has at most extract_num cars; up to this many are broadcast (about 50 MB), beyond it the join shuffles.
 BROADCAST_CARS = 1_000_000
@@ -37,7 +34,8 @@ def hourly_share(passages: DataFrame) -> DataFrame:
 
 def sample_quota(passages: DataFrame, extract_num: int) -> DataFrame:
     """Cars to draw per hour: the day's equal part of extract_num times the hour's share, never above its cars."""
-    days = hourly_distinct_cars(passages).select(F.count_distinct("date")).scalar()
+    # asking for the count as well keeps this subquery on the shuffle the main query makes, instead of a second scan
+    days = hourly_distinct_cars(passages).where(F.col("cars") > 0).select(F.count_distinct("date")).scalar()
     per_day = F.floor(F.lit(extract_num) / days)
     wanted = F.floor(F.col("share") * F.col("per_day")).cast("bigint")
     return (
@@ -75,15 +73,11 @@ def sample_cars(passages: DataFrame, extract_num: int, seed: int = 42) -> DataFr
     )
 
 
-def sampled_car_details(passages: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
+def passages_of_sample(passages: DataFrame, sample: DataFrame, extract_num: int) -> DataFrame:
     """All passages of the sampled cars, each once even if its car was drawn in several hours."""
-    cars = sample_cars(passages, extract_num, seed).select("car").distinct()
-    if extract_num <= BROADCAST_CARS:
-        cars = F.broadcast(cars)
-    return passages.join(cars, "car", "left_semi")
+    cars = sample.select("car").distinct()
+    return passages.join(F.broadcast(cars) if extract_num <= BROADCAST_CARS else cars, "car", "left_semi")
 
 
-def sampled_car_tracks(
-    passages: DataFrame, extract_num: int, seed: int = 42, tie: Sequence[str] = TIE
-) -> DataFrame:
-    return car_track(sampled_car_details(passages, extract_num, seed), tie)
+def sampled_car_details(passages: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
+    return passages_of_sample(passages, sample_cars(passages, extract_num, seed), extract_num)

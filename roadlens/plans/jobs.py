@@ -1,7 +1,8 @@
 """The batch jobs: from a task's parameters to its result tables.
 
-Each job is a function from the inputs to named results, all still lazy; ``run`` saves them. Nothing is cached: every
-result reads only its own columns of the days in the date range, which is cheaper than holding the fact in memory.
+Each job is a function from the inputs to named results; ``run`` saves them. Nothing is cached: every result reads only
+its own columns of the days in the date range, which is cheaper than holding the fact in memory, and what is costly to
+make and small, such as a sample, is written to the shared folder, where it outlives a lost executor.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from roadlens.operators import areas as area_ops
 from roadlens.operators import filters, funnel, monitors, sampling, tracks
 from roadlens.operators.sizing import broadcast_if_small
+from roadlens.sinks import store
 from roadlens.sinks.tables import Save
 from roadlens.sources.tasks import JobParams
 
@@ -47,12 +49,17 @@ def monitor_flow(passages: DataFrame, roster: DataFrame, params: JobParams) -> R
 
 
 def random_extract(passages: DataFrame, params: JobParams, seed: int = 42, tie: Sequence[str] = tracks.TIE) -> Results:
-    """A sample of cars spread over the hours, their passages, and their tracks."""
+    """A sample of cars spread over the hours, their passages, and their tracks.
+
+    Drawing shuffles each car of each hour, so the sample is written once and read by all three results.
+    """
     days, n = _days(passages, params), _needed(params.extract_num, "extractNum", params)
+    sample = store.staged(sampling.sample_cars(days, n, seed), "sample")
+    details = sampling.passages_of_sample(days, sample, n)
     return {
-        "random_extract_car": sampling.sample_cars(days, n, seed).select("car", "date", "date_hour"),
-        "random_extract_car_detail_info": sampling.sampled_car_details(days, n, seed).select(*DETAIL_FIELDS),
-        "car_track": sampling.sampled_car_tracks(days, n, seed, tie).select("date", "car", "track", "part"),
+        "random_extract_car": sample.select("car", "date", "date_hour"),
+        "random_extract_car_detail_info": details.select(*DETAIL_FIELDS),
+        "car_track": tracks.car_track(details, tie).select("date", "car", "track", "part"),
     }
 
 

@@ -276,7 +276,9 @@ def sampled_car_details(spark, d):
 
 @query
 def sampled_car_tracks(spark, d):
-    return sampling.sampled_car_tracks(inputs.passages(spark, d), EXTRACT_NUM, tie=TIE)
+    p = inputs.passages(spark, d)
+    sample = store.staged(sampling.sample_cars(p, EXTRACT_NUM), "sample")
+    return tracks.car_track(sampling.passages_of_sample(p, sample, EXTRACT_NUM), TIE)
 
 
 # --- clicks
@@ -419,11 +421,6 @@ def stream_ad_blacklist(spark, d):
 @query
 def stream_active_users(spark, d):
     run = _Run(spark, d)
-    lines = inputs.clicks_of(run.events(closing=False)).select(
-        "event_ts", F.concat_ws(" ", "click_date", "ad_id", "user_id").alias("value")
-    )
-    records = streams.parse_active_users(lines)
-    kept = clicks.without_blacklisted(records, inputs.blacklist(spark, d))
+    kept = clicks.without_blacklisted(inputs.clicks_of(run.events()), inputs.blacklist(spark, d))
     click_stream.start_active_users(kept, run.path("out"), run.path("cp"), HOUR, HOUR).awaitTermination()
-    counted = click_stream.count_active_users(run.read("out"))
-    return counted.select(_time_text("window_start"), "active_users")
+    return clicks.count_users(run.read("out")).select(_time_text("window_start"), "active_users")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,13 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="roadlens-")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back, which cuts its lineage."""
+    path = f"{shared_folder(df.sparkSession)}/roadlens-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Make the store readable before its first batch; a store that is there stays as it is."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions.columns import first_param, safe_int
+from roadlens.functions.columns import first_element, params_map, safe_int
 
 # Parameter names in the stored documents, and our column names for them.
 PARAMS = {
@@ -34,11 +34,12 @@ class JobParams:
 
 
 def task_params(tasks: DataFrame) -> DataFrame:
-    """The parameters of every task as columns; NULL where a document lacks one."""
-    columns = {ours: first_param("task_param", theirs) for theirs, ours in PARAMS.items()}
+    """The parameters of every task as columns; NULL where a document lacks one. Each document is parsed once."""
+    columns = {ours: first_element("doc", theirs) for theirs, ours in PARAMS.items()}
     for number in ("top_num", "extract_num"):
         columns[number] = safe_int(columns[number])
-    return tasks.select("task_id", *[c.alias(n) for n, c in columns.items()])
+    parsed = tasks.select("task_id", params_map("task_param").alias("doc"))
+    return parsed.select("task_id", *[c.alias(n) for n, c in columns.items()])
 
 
 def load_params(tasks: DataFrame, task_id: int) -> JobParams:

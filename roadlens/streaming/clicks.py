@@ -92,20 +92,5 @@ def start_active_users(
     records: DataFrame, path: str, checkpoint: str, window: str = "10 seconds", delay: str = "1 minute",
     trigger: dict = ONCE,
 ) -> StreamingQuery:
-    """Append each user once per interval, on the first record; a row per interval is one groupBy away."""
+    """Append each user once per interval when the watermark has passed it; operators.clicks.count_users counts them."""
     return to_files(ops.user_windows(records.withWatermark("event_ts", delay), window), path, checkpoint, trigger)
-
-
-def count_active_users(user_windows: DataFrame) -> DataFrame:
-    return user_windows.groupBy("window_start").agg(F.count("*").alias("active_users"))
-
-
-def approx_active_users(records: DataFrame, window: str = "10 seconds", rsd: float = 0.02) -> DataFrame:
-    """The count within about ``rsd``, from one small sketch per interval instead of a state per user."""
-    return (
-        records.groupBy(F.window("event_ts", window).alias("w"))
-        .agg(F.approx_count_distinct("user_id", rsd).alias("active_users"))
-        .select(F.col("w.start").alias("window_start"), "active_users")
-    )
-
-

@@ -20,11 +20,11 @@ def test_range_label(spark):
 
 
 def test_lenient_time(spark):
-    times = ["2024-01-05 26:10:00", "2024-01-05 00:00:01", "nonsense", None]
+    times = ["2024-01-05 26:10:00", "2024-01-05 00:00:01", "2024-1-5 0:0:1", "nonsense", None]
     as_text = lambda v: F.date_format(c.lenient_ts(v), "yyyy-MM-dd HH:mm:ss")
-    assert values(spark, as_text, times) == ["2024-01-06 02:10:00", "2024-01-05 00:00:01", None, None]
+    assert values(spark, as_text, times) == ["2024-01-06 02:10:00", "2024-01-05 00:00:01", "2024-01-05 00:00:01", None, None]
     seconds = values(spark, c.lenient_seconds, times)
-    assert seconds[0] - seconds[1] == 26 * 3600 + 600 - 1 and seconds[2:] == [None, None]
+    assert seconds[0] - seconds[1] == 26 * 3600 + 600 - 1 and seconds[2:] == [seconds[1], None, None]
     assert values(spark, c.date_hour, times[:1]) == ["2024-01-05_26"]
 
 
@@ -45,7 +45,7 @@ def test_speed_band(spark):
 
 
 def test_safe_int(spark):
-    assert values(spark, c.safe_int, ["12", "x", "", None]) == [12, None, None, None]
+    assert values(spark, c.safe_int, ["12", "-3", "x", "", " 1", "99999999999", None]) == [12, -3, *[None] * 5]
 
 
 def test_concat_fields(spark):
@@ -70,8 +70,8 @@ def test_half_up(spark):
 
 def test_first_param(spark):
     docs = ['{"startDate":["a","b"],"cars":[]}', "{}", None]
-    assert values(spark, lambda v: c.first_param(v, "startDate"), docs) == ["a", None, None]
-    assert values(spark, lambda v: c.first_param(v, "cars"), docs) == [None, None, None]
+    assert values(spark, lambda v: c.first_element(c.params_map(v), "startDate"), docs) == ["a", None, None]
+    assert values(spark, lambda v: c.first_element(c.params_map(v), "cars"), docs) == [None, None, None]
 
 
 @pytest.mark.parametrize(

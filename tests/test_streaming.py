@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from roadlens.operators import clicks as ops
 from roadlens.plans import inputs
 from roadlens.schema import CLICK_FIELDS, PASSAGE_FIELDS
+from roadlens.session import STREAM_SETTINGS, configure
 from roadlens.sinks import store
 from roadlens.sources.streams import parse_active_users, parse_clicks, parse_passages
 from roadlens.streaming import clicks, common, road
@@ -212,11 +213,31 @@ def test_active_users(spark, tmp_path, feed):
     out = str(tmp_path / "out")
     feed.add([click(spark, "10:00:01", "u"), click(spark, "10:00:02", "u"), click(spark, "10:00:03", "v")])
     feed.add([click(spark, "10:00:09", "u"), click(spark, "10:00:10", "u")])
+    feed.add([click(spark, "10:05:00", "w")])
     clicks.start_active_users(feed.stream(), out, str(tmp_path / "cp")).awaitTermination()
-    counted = {r.window_start.second: r.active_users for r in clicks.count_active_users(spark.read.parquet(out)).collect()}
-    assert counted == {0: 2, 10: 1}
-    near = clicks.approx_active_users(spark.read.schema(CLICK_SCHEMA).parquet(feed.path))
-    assert {r.window_start.second: r.active_users for r in near.collect()} == counted
+    by_second = lambda df: {r.window_start.second: r.active_users for r in df.collect()}
+    assert by_second(ops.count_users(spark.read.parquet(out))) == {0: 2, 10: 1}
+    table = spark.read.schema(CLICK_SCHEMA).parquet(feed.path).where("user_id <> 'w'")
+    assert by_second(ops.active_users(table)) == by_second(ops.approx_active_users(table)) == {0: 2, 10: 1}
+
+
+@pytest.fixture()
+def stream_settings(spark):
+    before = {k: spark.conf.get(k, None) for k in STREAM_SETTINGS}
+    configure(spark, streams=True)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def test_state_on_disk(spark, tmp_path, feed, stream_settings):
+    out = str(tmp_path / "out")
+    feed.add([click(spark, "10:00:01", "u")])
+    feed.add([click(spark, "10:05:00", "w")])
+    query = clicks.start_valid_clicks(feed.stream(), out, str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert [r.user_id for r in spark.read.parquet(out).collect()] == ["u"]
+    assert "rocksdbCommitFlushLatency" in query.recentProgress[-1].json or "rocksdb" in query.recentProgress[-1].json
 
 
 def test_records(spark):
