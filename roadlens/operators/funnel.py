@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import unit_half_up
+from roadlens.operators.ordering import HOT_ROWS
 from roadlens.operators.tracks import TIE, in_car_order
 
 
-def _matched(passages: DataFrame, flow: Sequence[str], tie: Sequence[str]) -> DataFrame:
+def _matched(passages: DataFrame, flow: Sequence[str], tie: Sequence[str], hot_rows: int) -> DataFrame:
     """One row with the occurrences n1, n2, … of each prefix of the flow, summed over all tracks.
 
     A passage at position p of its track that equals step j of the flow supports an occurrence starting at p - j.
@@ -20,7 +21,7 @@ def _matched(passages: DataFrame, flow: Sequence[str], tie: Sequence[str]) -> Da
     """
     steps = F.array_compact(F.array(*[F.when(F.col("monitor_id") == m, F.lit(j)) for j, m in enumerate(flow)]))
     support = (
-        in_car_order(passages, tie)
+        in_car_order(passages, tie, hot_rows)
         .where(F.col("monitor_id").isin(sorted(set(flow))))
         .select("car", "pos", F.explode(steps).alias("step"))
         .select("car", (F.col("pos") - F.col("step")).alias("start"), "step")
@@ -47,16 +48,20 @@ def _rows(counts: DataFrame, flow: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(entries))
 
 
-def flow_prefix_counts(passages: DataFrame, flow: Sequence[str], tie: Sequence[str] = TIE) -> DataFrame:
+def flow_prefix_counts(
+    passages: DataFrame, flow: Sequence[str], tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Occurrences (overlapping ones too) of every prefix of the flow in the tracks; zero counts are rows as well."""
-    return _rows(_matched(passages, flow, tie), flow).select("step", "flow", "cnt")
+    return _rows(_matched(passages, flow, tie, hot_rows), flow).select("step", "flow", "cnt")
 
 
-def flow_convert_rate(passages: DataFrame, flow: Sequence[str], tie: Sequence[str] = TIE) -> DataFrame:
+def flow_convert_rate(
+    passages: DataFrame, flow: Sequence[str], tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Count of each prefix over that of the prefix before, two digits; none for the first or after a zero count."""
     rate = F.col("cnt").cast("double") / F.col("previous").cast("double")
     return (
-        _rows(_matched(passages, flow, tie), flow)
+        _rows(_matched(passages, flow, tie, hot_rows), flow)
         .where(F.col("previous") > 0)
         .select("step", "flow", unit_half_up(rate).alias("rate"))
     )

@@ -1,14 +1,19 @@
-"""Positions and long lists within a key, without ever putting a whole key into one task.
+"""Positions and lists within a key, without ever putting a hot key into one task.
 
-One car plate (think of "unreadable") or one checkpoint may hold a third of all rows, so a window over the bare key
-would sort that third in one task and a collect_list over it would build one row of it. Both are avoided by slicing
-each key along its own order, for example by hour:
+One car plate (think of "unreadable") or one checkpoint may hold a third of all rows. A window over the bare key would
+sort that third in one task, and a collect_list would build one row of it. So keys are told apart by their counts,
+which combine on the map side:
 
-1. rows are counted per (key, slice), which combines on the map side, and a running sum over the few counts of a key
-   gives the number of rows before each slice;
-2. rows are ranked inside their (key, slice) only, and the two numbers add up to the exact position in the key;
-3. lists are built in parts of at most ``part_size`` consecutive positions. A key that fits into one part gives one
-   row, part 0, with the whole list.
+* Ordinary keys have at most ``hot_rows`` rows each and go the direct way: one shuffle by key.
+* Hot keys are sliced along their own order, for example by hour. Counts per (key, slice) and a running sum over them
+  give the number of rows before each slice; rows are ranked inside their slice only, and both add up to the exact
+  position. Their lists are built in parts of ``hot_rows`` consecutive positions.
+
+An ordinary key gives one row, part 0, with the whole list; a hot key gives as many rows as it has parts.
+
+The hot keys are broadcast. Each stands for more than ``hot_rows`` rows, so there are fewer than rows / hot_rows of
+them: below a million keys, some 100 MB, for 10^12 rows. Without hot keys the broadcast is empty and adaptive execution
+drops the second way altogether.
 """
 
 from __future__ import annotations
@@ -18,14 +23,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART_SIZE = 100_000
+HOT_ROWS = 1_000_000
 
 
-def slice_offsets(df: DataFrame, keys: Sequence[str], slice_: Column) -> DataFrame:
-    """Per (key, slice), as one struct column ``_group``: the rows of the key ``_before`` the slice.
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of keys with more than ``hot_rows`` rows. In a struct NULL keys match too."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    hot = F.broadcast(counts.where(F.col("_rows") > hot_rows).select(F.struct(*keys).alias("_key")))
+    keyed = df.withColumn("_key", F.struct(*keys))
+    return tuple(keyed.join(hot, "_key", how).drop("_key") for how in ("left_anti", "left_semi"))
 
-    In a struct a NULL key still joins with itself.
-    """
+
+def slice_offsets(df: DataFrame, keys: Sequence[str], slice_: Column) -> DataFrame:
+    """Per (key, slice), as one struct column ``_group``: the rows of the key ``_before`` the slice."""
     counts = df.groupBy(F.struct(*keys, slice_.alias("_slice")).alias("_group")).agg(F.count("*").alias("_rows"))
     earlier = (
         Window.partitionBy(*[F.col(f"_group.{k}") for k in keys])
@@ -35,10 +45,8 @@ def slice_offsets(df: DataFrame, keys: Sequence[str], slice_: Column) -> DataFra
     return counts.select("_group", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
 
 
-def number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], slice_: Column, name: str = "pos"
-) -> DataFrame:
-    """Add the position (from 1) of each row in its key. ``slice_`` must never decrease along ``order``.
+def number_in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_: Column) -> DataFrame:
+    """Add ``pos``, the position (from 1) of each row in its key. ``slice_`` must never decrease along ``order``.
 
     The rows are shuffled and sorted once: the join with the offsets uses the partitions and the order of the ranking.
     """
@@ -46,31 +54,46 @@ def number_within(
     ranked = df.withColumn("_group", F.struct(*keys, slice_.alias("_slice"))).withColumn("_rank", rank)
     return (
         ranked.join(slice_offsets(df, keys, slice_), "_group")
-        .withColumn(name, F.col("_before") + F.col("_rank"))
+        .withColumn("pos", F.col("_before") + F.col("_rank"))
         .drop("_group", "_before", "_rank")
     )
 
 
-def list_in_parts(
-    numbered: DataFrame,
+def number_within(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_: Column, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add ``pos`` to the rows of all keys, sliced where the key is hot."""
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    return ordinary.withColumn("pos", rank).unionByName(number_in_slices(hot, keys, order, slice_))
+
+
+def ordered_lists(
+    df: DataFrame,
     keys: Sequence[str],
+    order: Sequence[str],
+    slice_: Column,
     item: Column,
     sep: str,
     name: str,
     last: str | None = None,
-    part_size: int = PART_SIZE,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join the items of each key in order of ``pos``, at most ``part_size`` of them per row.
+    """Join the items of each key in order, in parts where the key is hot.
 
     ``last`` is a column whose value at the last item of the part is kept.
     """
-    part = F.floor((F.col("pos") - 1) / part_size).cast("bigint").alias("part")
-    kept = [] if last is None else [F.col(last)]
-    rows = F.sort_array(F.collect_list(F.struct("pos", item.alias("item"), *kept)))
-    grouped = numbered.groupBy(*keys, part).agg(rows.alias("_rows"))
-    return grouped.select(
-        *keys,
-        "part",
-        *[F.element_at("_rows", -1)[last].alias(last) for _ in kept],
-        F.array_join(F.transform("_rows", lambda r: r["item"]), sep).alias(name),
-    )
+    ordinary, hot = split_hot(df, keys, hot_rows)
+    part = F.floor((F.col("pos") - 1) / hot_rows).cast("bigint").alias("part")
+
+    def join_items(grouped, by: Sequence[str]) -> DataFrame:
+        places = [F.col(c).alias(f"o{i}") for i, c in enumerate(by)]
+        kept = [] if last is None else [F.col(last).alias("last")]
+        rows = F.sort_array(F.collect_list(F.struct(*places, item.alias("item"), *kept)))
+        return grouped.agg(rows.alias("_rows"))
+
+    whole = join_items(ordinary.groupBy(*keys), order).withColumn("part", F.lit(0).cast("bigint"))
+    parts = join_items(number_in_slices(hot, keys, order, slice_).groupBy(*keys, part), ["pos"])
+    text = F.array_join(F.transform("_rows", lambda r: r["item"]), sep).alias(name)
+    kept = [] if last is None else [F.element_at("_rows", -1)["last"].alias(last)]
+    return whole.select(*keys, "part", *kept, text).unionByName(parts.select(*keys, "part", *kept, text))

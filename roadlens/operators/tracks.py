@@ -8,33 +8,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import lenient_seconds, range_label
-from roadlens.operators.ordering import PART_SIZE, list_in_parts, number_within
+from roadlens.operators.ordering import HOT_ROWS, number_within, ordered_lists
 
 TIE = ("monitor_id", "camera_id")
 SLICE_SECONDS = 3600
 
 
-def in_car_order(passages: DataFrame, tie: Sequence[str] = TIE, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Number each car's passages by time; equal times go by the tie columns.
-
-    No task sorts more than one car's passages of one slice.
-    """
-    timed = passages.select(
-        *dict.fromkeys(["car", "date", "monitor_id", "action_time", *tie]),
-        lenient_seconds("action_time").alias("event_sec"),
+def _timed(passages: DataFrame, tie: Sequence[str], *columns: str) -> DataFrame:
+    return passages.select(
+        *dict.fromkeys(["car", "monitor_id", *columns, *tie]), lenient_seconds("action_time").alias("event_sec")
     )
-    return number_within(timed, ["car"], ["event_sec", *tie], F.floor(F.col("event_sec") / slice_seconds))
 
 
-def car_track(passages: DataFrame, tie: Sequence[str] = TIE, part_size: int = PART_SIZE) -> DataFrame:
+def _slice(seconds: int = SLICE_SECONDS) -> Column:
+    return F.floor(F.col("event_sec") / seconds)
+
+
+def in_car_order(
+    passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    """Number each car's passages by time; equal times go by the tie columns. A hot car is sliced by the hour."""
+    return number_within(_timed(passages, tie), ["car"], ["event_sec", *tie], _slice(slice_seconds), hot_rows)
+
+
+def car_track(passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The checkpoints each car passed, 'm1,m2,…' in time order, with the date of the last of them."""
-    return list_in_parts(in_car_order(passages, tie), ["car"], F.col("monitor_id"), ",", "track", "date", part_size)
+    return ordered_lists(
+        _timed(passages, tie, "date"), ["car"], ["event_sec", *tie], _slice(), F.col("monitor_id"), ",", "track",
+        last="date", hot_rows=hot_rows,
+    )
 
 
-def car_track_times(passages: DataFrame, tie: Sequence[str] = TIE, part_size: int = PART_SIZE) -> DataFrame:
+def car_track_times(passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The same with times: 'm1=time|m2=time|…'."""
     item = F.concat("monitor_id", F.lit("="), "action_time")
-    return list_in_parts(in_car_order(passages, tie), ["car"], item, "|", "track", part_size=part_size)
+    return ordered_lists(
+        _timed(passages, tie, "action_time"), ["car"], ["event_sec", *tie], _slice(), item, "|", "track",
+        hot_rows=hot_rows,
+    )
 
 
 def range_visits(passages: DataFrame, last_only: bool = True, tie: Sequence[str] = TIE, minutes: int = 5) -> DataFrame:
@@ -42,9 +53,7 @@ def range_visits(passages: DataFrame, last_only: bool = True, tie: Sequence[str]
 
     ``last_only`` keeps only the last visit of a car to a checkpoint, which is what the stored result has always held.
     """
-    visits = passages.select(
-        *dict.fromkeys(["monitor_id", "car", "action_time", *tie]), lenient_seconds("action_time").alias("event_sec")
-    )
+    visits = _timed(passages, tie, "action_time")
     if last_only:
         visits = (
             visits.groupBy("monitor_id", "car")
@@ -54,17 +63,18 @@ def range_visits(passages: DataFrame, last_only: bool = True, tie: Sequence[str]
     return visits.withColumn("range_time", range_label("action_time", minutes))
 
 
-def cars_per_range(visits: DataFrame, tie: Sequence[str] = TIE, part_size: int = PART_SIZE) -> DataFrame:
+def cars_per_range(visits: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per checkpoint and range: 'car=time|car=time' by time, then car. Also renders stored and new visits together."""
-    keys = ["monitor_id", "range_time"]
-    numbered = number_within(visits, keys, ["event_sec", "car", *tie], F.floor(F.col("event_sec") / 30))
-    return list_in_parts(numbered, keys, F.concat("car", F.lit("="), "action_time"), "|", "cars", part_size=part_size)
+    order, item = ["event_sec", "car", *tie], F.concat("car", F.lit("="), "action_time")
+    return ordered_lists(
+        visits, ["monitor_id", "range_time"], order, _slice(10), item, "|", "cars", hot_rows=hot_rows
+    )
 
 
 def monitor_5min_cars(
-    passages: DataFrame, last_only: bool = True, tie: Sequence[str] = TIE, part_size: int = PART_SIZE
+    passages: DataFrame, last_only: bool = True, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    return cars_per_range(range_visits(passages, last_only, tie), tie, part_size)
+    return cars_per_range(range_visits(passages, last_only, tie), tie, hot_rows)
 
 
 def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -> DataFrame:

@@ -47,18 +47,28 @@ def test_small_sides_are_broadcast_by_their_size(spark, folder, without_broadcas
     assert "BroadcastHashJoin" in plan(QUERIES[name](spark, folder))
 
 
-@pytest.mark.parametrize("name", ["car_track", "car_track_times", "flow_prefix_counts", "monitor_5min_cars_all"])
-def test_rows_are_never_grouped_by_a_bare_car_or_checkpoint(spark, folder, without_broadcast, name):
-    """Rows go by (key, slice), then by (key, part) or (car, start); only counts per slice go by the key alone."""
+KEYED = ["car_track", "car_track_times", "flow_prefix_counts", "monitor_5min_cars_all", "sampled_car_tracks"]
+
+
+@pytest.mark.parametrize("name", KEYED)
+def test_hot_keys_leave_the_direct_way(spark, folder, without_broadcast, name):
+    """The direct way has an anti-join with the hot keys, the other one goes by slices of them."""
     text = plan(QUERIES[name](spark, folder))
-    lines = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
-    assert sum("hashpartitioning(_group#" in line for line in lines) == 2
-    assert not [line for line in lines if "hashpartitioning(car#" in line and "," not in line.split("hashpartitioning(car#")[1].split(", 4)")[0]]
+    assert text.count("LeftAnti, BuildRight") == 1 and "LeftSemi, BuildRight" in text
+    assert text.count("Exchange hashpartitioning(_group#") == 2
+
+
+@pytest.mark.parametrize("name", KEYED)
+def test_without_hot_keys_the_second_way_vanishes(spark, folder, name):
+    df = QUERIES[name](spark, folder)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert "_group#" not in final and "Union" not in final
 
 
-def test_ranking_sorts_rows_once(spark, folder, without_broadcast):
-    text = plan(QUERIES["car_track"](spark, folder))
-    assert text.count("Sort [_group#") == 2  # the rows by (group, time), the offsets by group
+def test_ranking_in_slices_sorts_rows_once(spark, folder, without_broadcast):
+    """One sort of the hot rows by (group, time), one of the offsets by group."""
+    assert plan(QUERIES["car_track"](spark, folder)).count("Sort [_group#") == 2
 
 
 @pytest.mark.parametrize("name", ["hourly_distinct_cars", "speed_bands", "area_road_flow"])

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from roadlens.operators import areas, funnel, sampling, tracks
-from roadlens.operators.ordering import list_in_parts, number_within
+from roadlens.operators.ordering import number_within, ordered_lists
 
 
 def text(sec):
@@ -32,14 +32,15 @@ def tracks_by_hand(rows):
     }
 
 
-def test_tracks_in_parts(make_passages):
+@pytest.mark.parametrize("hot_rows", [1, 10, 100, 10**6])
+def test_tracks_in_parts(make_passages, hot_rows):
     rows = rows_with_hot_car()
-    got = tracks.car_track_times(make_passages(rows), ["event_id"], part_size=10).collect()
+    got = tracks.car_track_times(make_passages(rows), ["event_id"], hot_rows=hot_rows).collect()
     want = tracks_by_hand(rows)
-    assert max(r.track.count("|") for r in got) == 9
+    assert max(r.track.count("|") for r in got) == max(min(hot_rows, len(t)) for t in want.values()) - 1
     joined = {}
     for r in sorted(got, key=lambda r: (r.car, r.part)):
-        assert r.part == len(joined.setdefault(r.car, [])) // 10
+        assert r.part == len(joined.setdefault(r.car, [])) // hot_rows
         joined[r.car] += [tuple(x.split("=")) for x in r.track.split("|")]
     assert joined == want
 
@@ -53,17 +54,17 @@ def test_date_of_a_part_is_that_of_its_last_passage(make_passages):
     assert not got
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 600, 10**6])
-def test_positions_do_not_depend_on_the_slices(make_passages, slice_seconds):
-    rows = rows_with_hot_car(300)
-    numbered = tracks.in_car_order(make_passages(rows), ["event_id"], slice_seconds)
-    got = sorted((r.car, r.pos, r.monitor_id, r.action_time) for r in numbered.collect())
-    assert got == sorted((c, i + 1, *x) for c, t in tracks_by_hand(rows).items() for i, x in enumerate(t))
+@pytest.mark.parametrize("hot_rows, slice_seconds", [(0, 1), (0, 600), (0, 10**6), (50, 600), (10**6, 600)])
+def test_positions_do_not_depend_on_the_slices(make_passages, hot_rows, slice_seconds):
+    rows = rows_with_hot_car(300) + [(None, "m1", text(i)) for i in range(60)]
+    numbered = tracks.in_car_order(make_passages(rows), ["event_id"], hot_rows, slice_seconds)
+    got = {(r.car, r.pos): r.monitor_id for r in numbered.collect()}
+    assert got == {(c or None, i + 1): m for c, t in tracks_by_hand(rows).items() for i, (m, _) in enumerate(t)}
 
 
 def test_cars_per_range_in_parts(make_passages):
     rows = [(f"C{i:03d}", "m0", text(43200 + i % 300)) for i in range(250)]
-    got = tracks.monitor_5min_cars(make_passages(rows), part_size=20).orderBy("part").collect()
+    got = tracks.monitor_5min_cars(make_passages(rows), hot_rows=20).orderBy("part").collect()
     assert [r.part for r in got] == list(range(13)) and max(r.cars.count("|") for r in got) == 19
     listed = "|".join(r.cars for r in got).split("|")
     assert listed == [f"{c}={t}" for c, _, t in sorted(rows, key=lambda r: (r[2], r[0]))]
@@ -78,10 +79,11 @@ def flow_by_hand(rows, flow):
     return total
 
 
+@pytest.mark.parametrize("hot_rows", [100, 10**6])
 @pytest.mark.parametrize("flow", [["m0", "m0", "m1"], ["m3", "m1", "m0", "m3"], ["m0"] * 70])
-def test_flow_counts(make_passages, flow):
+def test_flow_counts(make_passages, flow, hot_rows):
     rows = rows_with_hot_car() + [("HOT", "m0", text(170000 + i)) for i in range(80)]
-    got = funnel.flow_prefix_counts(make_passages(rows), flow, ["event_id"]).orderBy("step").collect()
+    got = funnel.flow_prefix_counts(make_passages(rows), flow, ["event_id"], hot_rows).orderBy("step").collect()
     assert [r.cnt for r in got] == flow_by_hand(rows, flow)
 
 
@@ -131,8 +133,17 @@ def test_salted_flow_is_the_same(spark, make_passages, salts):
 
 def test_lists_by_another_key(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
-    numbered = number_within(df, ["k"], ["id"], F.floor(F.col("id") / 7))
-    got = list_in_parts(numbered, ["k"], F.col("id").cast("string"), ",", "ids", part_size=8).collect()
+    got = ordered_lists(
+        df, ["k"], ["id"], F.floor(F.col("id") / 7), F.col("id").cast("string"), ",", "ids", hot_rows=8
+    ).collect()
     for k in range(3):
         parts = [r.ids for r in sorted(got, key=lambda r: r.part) if r.k == k]
         assert ",".join(parts) == ",".join(str(i) for i in range(k, 100, 3)) and len(parts) == 5
+
+
+def test_a_hot_null_key_is_split_too(spark, make_passages):
+    p = make_passages([(None, "m", text(i)) for i in range(30)] + [("C1", "m", text(i)) for i in range(5)])
+    got = sorted((r.car or "", r.part, r.track.count("m")) for r in tracks.car_track(p, hot_rows=10).collect())
+    assert got == [("", 0, 10), ("", 1, 10), ("", 2, 10), ("C1", 0, 5)]
+    numbered = number_within(p, ["car"], ["event_id"], F.floor(F.col("event_id") / 4), 10)
+    assert sorted(r.pos for r in numbered.where("car IS NULL").collect()) == list(range(1, 31))
