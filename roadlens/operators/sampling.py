@@ -13,10 +13,13 @@ BROADCAST_CARS = 1_000_000
 
 
 def hourly_cars(passages: DataFrame) -> DataFrame:
-    """Each car once per hour it was seen in."""
-    return passages.select(
-        day_text("action_time").alias("date"), hour_text("action_time").alias("hour"), "car"
-    ).distinct()
+    """Each car once per hour it was seen in; passages without a time belong to no hour.
+
+    The joins by hour would add the same condition on their own, each in its own branch; said here, all branches of a
+    sample have one plan and share its shuffle.
+    """
+    hours = passages.select(day_text("action_time").alias("date"), hour_text("action_time").alias("hour"), "car")
+    return hours.where(F.col("date").isNotNull() & F.col("hour").isNotNull()).distinct()
 
 
 def hourly_distinct_cars(passages: DataFrame) -> DataFrame:
@@ -49,24 +52,26 @@ def sample_quota(passages: DataFrame, extract_num: int) -> DataFrame:
 def sample_cars(passages: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
     """Draw exactly the quota of each hour, without repetition: the cars with the smallest seeded hashes.
 
-    An hour is cut into 4096 slices by the first hash digits. Counts per slice tell which slices lie below the quota,
-    so cars beyond it are dropped before any ranking and no task ranks more than one slice of an hour.
+    An hour is cut into 256 slices by the first hash digits. Counts per slice tell how many slices the quota reaches
+    into; cars beyond them are dropped before the shuffle for the ranking, by a broadcast of one row per hour. No task
+    ranks more than one slice of an hour.
     """
     text = F.concat_ws("|", F.lit(str(seed)), "date", "hour", "car")
-    cars = hourly_cars(passages).withColumn("h", F.md5(text))
-    head = F.substring("h", 1, 3)
+    cars = hourly_cars(passages).withColumn("h", F.md5(text)).withColumn("head", F.substring("h", 1, 2))
     quota = sample_quota(passages, extract_num).where(F.col("quota") > 0).select("date", "hour", "quota")
-    wanted = (
-        slice_offsets(cars, ["date", "hour"], head)
+    reached = (
+        slice_offsets(cars, ["date", "hour"], F.col("head"))
         .withColumns({"date": F.col("_group.date"), "hour": F.col("_group.hour")})
         .join(quota, ["date", "hour"])
         .where(F.col("_before") < F.col("quota"))
-        .select("_group", "_before", "quota")
     )
+    last = reached.groupBy("date", "hour").agg(F.max("_group._slice").alias("last"))
     rank = F.row_number().over(Window.partitionBy("_group").orderBy("h", "car"))
     return (
-        cars.withColumn("_group", F.struct("date", "hour", head.alias("_slice")))
-        .join(wanted, "_group")
+        cars.join(F.broadcast(last), ["date", "hour"])
+        .where(F.col("head") <= F.col("last"))
+        .withColumn("_group", F.struct("date", "hour", F.col("head").alias("_slice")))
+        .join(reached.select("_group", "_before", "quota"), "_group")
         .withColumn("draw", F.col("_before") + rank)
         .where(F.col("draw") <= F.col("quota"))
         .select("date", "hour", "car", F.concat("date", F.lit("_"), "hour").alias("date_hour"))

@@ -84,7 +84,8 @@ def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -
     single passages: per (wanted car, checkpoint, bucket of ``gap_seconds``) only the first and last time matter. Any
     passage in the same bucket is near; one in the next bucket is near up to last + gap, one in the previous bucket
     from first - gap on. That gives one row per wanted car and bucket, and each passage meets it once: the work is
-    linear in the passages even when one car or one checkpoint has a third of them.
+    linear in the passages even when one car or one checkpoint has a third of them. Where Spark does not know the size
+    of ``wanted``, pass it through sizing.broadcast_if_small.
     """
     timed = passages.select("monitor_id", "car", lenient_seconds("action_time").alias("event_sec")).withColumn(
         "bucket", F.floor(F.col("event_sec") / gap_seconds)

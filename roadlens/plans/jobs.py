@@ -75,7 +75,7 @@ def with_the_car(passages: DataFrame, params: JobParams, run_date: str | None =
     }
     if params.cars:
         wanted = days.sparkSession.createDataFrame([(c,) for c in params.cars], "car string")
-        results["companion_cars"] = tracks.companions(days, wanted)
+        results["companion_cars"] = tracks.companions(days, broadcast_if_small(wanted))
     return results
 
 
