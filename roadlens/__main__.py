@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
 from roadlens.plans import jobs
 from roadlens.session import configure
-from roadlens.sinks.tables import path_saver
+from roadlens.sinks.tables import jdbc_saver, path_saver
 from roadlens.sources.tables import read_passages, read_roster, read_table
 from roadlens.sources.tasks import load_params
 
 JOBS = ("monitor-flow", "random-extract", "with-the-car", "area-top3", "convert-rate")
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="roadlens", description=__doc__)
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--task-id", type=int, required=True)
@@ -23,8 +24,11 @@ def main() -> None:
     parser.add_argument("--passages", default="monitor_flow_action")
     parser.add_argument("--roster", default="monitor_camera_info")
     parser.add_argument("--areas", default="area_info")
-    parser.add_argument("--out", required=True, help="folder for the results")
-    args = parser.parse_args()
+    target = parser.add_mutually_exclusive_group(required=True)
+    target.add_argument("--out", help="folder for the results")
+    target.add_argument("--jdbc-url", help="database for the results; the password comes from ROADLENS_JDBC_PASSWORD")
+    parser.add_argument("--jdbc-user")
+    args = parser.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName(f"roadlens {args.job}").getOrCreate())
     params = load_params(read_table(spark, args.tasks), args.task_id)
@@ -39,7 +43,11 @@ def main() -> None:
         results = jobs.area_top3(passages, read_table(spark, args.areas), params)
     else:
         results = jobs.convert_rate(passages, params)
-    jobs.run(results, args.task_id, path_saver(args.out))
+    if args.jdbc_url:
+        save = jdbc_saver(args.jdbc_url, args.jdbc_user, os.environ.get("ROADLENS_JDBC_PASSWORD"))
+    else:
+        save = path_saver(args.out)
+    jobs.run(results, args.task_id, save)
 
 
 if __name__ == "__main__":

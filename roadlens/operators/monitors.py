@@ -135,20 +135,43 @@ def fastest_monitors(bands: DataFrame, top_n: int = 5) -> DataFrame:
     return bands.orderBy(*by, "monitor_id").limit(top_n)
 
 
+def _speed_floor(rows: DataFrame, top_n: int) -> DataFrame:
+    """Per checkpoint: the speed below which no passage can be among the ``top_n`` fastest.
+
+    From counts per speed. Where speeds without a number are among the fastest, every passage is.
+    """
+    faster = (
+        Window.partitionBy("monitor_id")
+        .orderBy(F.desc_nulls_last("speed_kmh"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        rows.groupBy("monitor_id", "speed_kmh")
+        .agg(F.count("*").alias("n"))
+        .withColumn("faster", F.coalesce(F.sum("n").over(faster), F.lit(0)))
+        .where(F.col("faster") < top_n)
+        .groupBy("monitor_id")
+        .agg(F.min("speed_kmh").alias("floor"), F.bool_or(F.col("speed_kmh").isNull()).alias("every"))
+    )
+
+
 def fastest_passages(passages: DataFrame, monitors: DataFrame, top_n: int = 10, tie: tuple[str, ...] = ()) -> DataFrame:
-    """The fastest passages at each of the given checkpoints.
+    """The fastest passages at each of the given checkpoints, which are a top list of a few rows.
 
-    The rank limit is applied before the shuffle as well (WindowGroupLimit), so a checkpoint with a third of all
-    passages sends ``top_n`` rows per task.
+    Passages below the speed floor of their checkpoint go before anything is sorted. The rank limit then applies
+    before the shuffle as well (WindowGroupLimit), so a checkpoint with a third of all passages sends ``top_n`` rows
+    per task. The floors, one row per given checkpoint, are broadcast.
     """
     order = Window.partitionBy("monitor_id").orderBy(
         F.desc_nulls_last("speed_kmh"), F.asc("event_sec"), F.asc("car"), *[F.asc(t) for t in tie]
     )
+    with_speed = passages.withColumn("speed_kmh", safe_int("speed"))
+    floors = _speed_floor(passages_of(with_speed, monitors), top_n)
     return (
-        passages_of(passages, monitors)
-        .withColumn("speed_kmh", safe_int("speed"))
+        with_speed.join(F.broadcast(floors), "monitor_id")
+        .where(F.col("every") | (F.col("speed_kmh") >= F.col("floor")))
         .withColumn("event_sec", lenient_seconds("action_time"))
         .withColumn("rn", F.row_number().over(order))
         .where(F.col("rn") <= top_n)
-        .drop("speed_kmh", "event_sec")
+        .drop("speed_kmh", "event_sec", "floor", "every")
     )

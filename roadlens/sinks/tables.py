@@ -18,7 +18,10 @@ def for_task(result: DataFrame, task_id: int) -> DataFrame:
     return result.select(F.lit(task_id).cast("bigint").alias("task_id"), "*")
 
 
-def append_jdbc(result: DataFrame, url: str, table: str, user: str | None = None, password: str | None = None, batch_size: int = 5000, max_connections: int = 10) -> None:
+def append_jdbc(
+    result: DataFrame, url: str, table: str, user: str | None = None, password: str | None = None,
+    batch_size: int = 5000, max_connections: int = 10,
+) -> None:
     """Append to a database table: batched inserts from the tasks, one connection per partition."""
     options = jdbc_options(url, table, user, password, batchsize=batch_size, numPartitions=max_connections)
     result.write.format("jdbc").options(**options).mode("append").save()

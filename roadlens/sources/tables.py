@@ -27,7 +27,9 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return {k: str(v) for k, v in options.items() if v is not None}
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, user: str | None = None, password: str | None = None, **more) -> DataFrame:
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, user: str | None = None, password: str | None = None, **more
+) -> DataFrame:
     """A database table. Big ones need partitionColumn, lowerBound, upperBound and numPartitions in ``more``."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, user, password, **more)).load()
 

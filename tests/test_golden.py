@@ -73,6 +73,18 @@ def test_fastest_passages_of_a_quiet_monitor(make_passages):
     assert [rows[i].car for i in (1, 2, 3)] == ["C3", "C1", "C2"]
 
 
+@pytest.mark.parametrize("top_n", [1, 3, 5, 9])
+def test_fastest_passages_by_hand(make_passages, top_n):
+    speeds = ["80", "90", "x", "90", "80", "7", "90", None]
+    rows = [(f"C{i}", m, at(i), "0", s) for m in "mn" for i, s in enumerate(speeds if m == "m" else speeds[2:5])]
+    p = make_passages(rows)
+    got = monitors.fastest_passages(p, p.select("monitor_id").distinct(), top_n).collect()
+    for m in "mn":
+        key = lambda r: (r[4] in ("x", None), -int(r[4] if r[4] not in ("x", None) else 0), r[2])
+        want = [r[0] for r in sorted((r for r in rows if r[1] == m), key=key)][:top_n]
+        assert [r.car for r in sorted(got, key=lambda r: r.rn) if r.monitor_id == m] == want
+
+
 def test_non_numeric_speed_is_in_no_band(make_passages):
     p = make_passages([("C1", "m", at(0), "0", s) for s in ("x", "-1", "0", "59", "60", "90", "120")])
     assert tuple(monitors.speed_bands(p).first()) == ("m", 2, 1, 1, 1)

@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from roadlens.__main__ import JOBS, main
 from roadlens.operators import sizing
 from roadlens.plans import inputs, jobs
+from roadlens.schema import TASKS
 from roadlens.sinks import store, tables
 from roadlens.sources.tables import jdbc_options, read_list, read_passages, read_roster
 from roadlens.sources.tasks import JobParams, load_params, task_params
@@ -53,6 +55,28 @@ def test_all_jobs(spark, data, tmp_path):
     assert details.count() == days.join(cars, "car", "left_semi").count()
 
 
+def test_command_line(spark, data, tmp_path):
+    passages, roster, areas = data
+    task = (
+        3, "", "", "", "", "", "",
+        '{"startDate":["2024-01-05"],"endDate":["2024-01-09"],"topNum":["2"],"extractNum":["900"],'
+        '"roadFlow":["0000,0001"],"cars":["C00001,C00002"]}',
+    )
+    tables_ = {"passages": passages, "roster": roster, "areas": areas, "tasks": spark.createDataFrame([task], TASKS)}
+    for name, df in tables_.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    paths = [x for name in tables_ for x in (f"--{name}", f"{tmp_path}/{name}")]
+    for job in JOBS:
+        main([job, "--task-id", "3", *paths, "--out", f"{tmp_path}/out/{job}"])
+    flow = saved(spark, f"{tmp_path}/out/area-top3/areaTop3Road")
+    want = jobs.area_top3(passages, areas, PARAMS)["areaTop3Road"]
+    assert flow.drop("task_id").exceptAll(want).count() == 0 and flow.count() == want.count() == 21
+    assert saved(spark, f"{tmp_path}/out/with-the-car/companion_cars").select("wanted_car").distinct().count() == 2
+    assert saved(spark, f"{tmp_path}/out/convert-rate/monitor_convert_rate").first().flow == "0000,0001"
+    assert saved(spark, f"{tmp_path}/out/monitor-flow/topn_monitor_car_count").count() == 2
+    assert saved(spark, f"{tmp_path}/out/random-extract/car_track").count() > 0
+
+
 def test_saving_again_replaces_only_that_task(spark, tmp_path):
     save = tables.path_saver(str(tmp_path))
     for task, n in [(1, 3), (2, 4), (3, 6), (1, 5), (3, 0)]:

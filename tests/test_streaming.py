@@ -240,6 +240,13 @@ def test_state_on_disk(spark, tmp_path, feed, stream_settings):
     assert "rocksdbCommitFlushLatency" in query.recentProgress[-1].json or "rocksdb" in query.recentProgress[-1].json
 
 
+def test_console(spark, tmp_path, feed):
+    feed.add([click(spark, "10:00:01", "u")])
+    query = common.to_console(feed.stream(), str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert query.exception() is None and sum(p.numInputRows for p in query.recentProgress) == 1
+
+
 def test_records(spark):
     lines = spark.createDataFrame(
         [("2024-01-05\tip\tu\ta\tP\tC\textra",), ("a\tb",), ("",)], "value string"
