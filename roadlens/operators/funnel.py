@@ -19,11 +19,12 @@ def _matched(passages: DataFrame, flow: Sequence[str], tie: Sequence[str], hot_r
     So with positions known, only passages at checkpoints of the flow are needed, and an occurrence is a small group
     (car, start) of at most one row per step; no track is ever put together.
     """
-    steps = F.array_compact(F.array(*[F.when(F.col("monitor_id") == m, F.lit(j)) for j, m in enumerate(flow)]))
+    steps_of = {m: [j for j, step in enumerate(flow) if step == m] for m in flow}
+    steps = F.create_map(*[F.lit(x) for pair in steps_of.items() for x in pair])
     support = (
         in_car_order(passages, tie, hot_rows)
-        .where(F.col("monitor_id").isin(sorted(set(flow))))
-        .select("car", "pos", F.explode(steps).alias("step"))
+        .where(F.col("monitor_id").isin(list(steps_of)))
+        .select("car", "pos", F.explode(F.element_at(steps, F.col("monitor_id"))).alias("step"))
         .select("car", (F.col("pos") - F.col("step")).alias("start"), "step")
     )
     n = len(flow)
