@@ -1,0 +1,73 @@
+"""Benchmark passages against a plain reading of the rule."""
+
+import random
+import re
+
+from roadlens.llm import decontamination as dc
+
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return _WORD.findall((text or "").translate(_LOWER))
+
+
+def plain(docs, items):
+    cut = [(i, tuple(w[k : k + 13])) for i, t in items if (w := words(t)) for k in range(max(1, len(w) - 12))]
+    windows = {}
+    for i, w in cut:
+        windows.setdefault(w, set()).add(i)
+    sizes = {len(w) for w in windows}
+    out = []
+    for doc_id, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                ids = windows.get(tuple(w[k : k + n]))
+                if ids:
+                    hit.update(range(k, k + n))
+                    found |= ids
+        found.discard(None)
+        out.append((doc_id, len(w), len(hit), sorted(map(str, found)), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+def result(docs, items):
+    rows = dc.contamination(docs, items).select("doc_id", "n_words", "n_hit", "n_items", "items", "contaminated").collect()
+    assert all(r["n_items"] == len(r["items"]) for r in rows)
+    return sorted(((r[0], r[1], r[2], r[4], r[5]) for r in rows), key=repr)
+
+
+def test_whole_tables(spark, small):
+    docs, items = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
+    pairs = [[tuple(r) for r in t.select(*c).collect()] for t, c in ((docs, ("doc_id", "text")), (items, ("item_id", "text")))]
+    want = plain(*pairs)
+    assert result(docs, items) == want
+    assert any(r[4] for r in want)
+
+
+def test_few_words(spark, docs_of):
+    rnd = random.Random(3)
+    text = lambda n: " ".join(rnd.choice(["a", "B", "é", "É", "ς", "Σ", "k"]) for _ in range(n))
+    items = [(i, text(rnd.choice([1, 2, 3, 4, 15, 30]))) for i in range(12)] + [(50, None), (51, "!?"), (None, "zz yy"), (53, text(2)), (54, "Q q")]
+    items.append((55, items[5][1]))
+    docs = [(i, text(rnd.randrange(40)) + rnd.choice(["", " zz yy", ", q-Q "])) for i in range(60)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert result(docs_of(docs), table) == plain(docs, items)
+
+
+def test_odd_rows(spark, odd, none, docs_of):
+    from conftest import ODD
+
+    items = [(1, "same text"), (2, "b c a b c a b c a b c a b c")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert result(odd, table) == plain(ODD, items)
+    assert dc.contamination(none, table).count() == 0
+    assert {r["n_hit"] for r in dc.contamination(odd, table.where("item_id < 0")).collect()} == {0}
+
+
+def test_plan_has_no_python(spark, small):
+    docs, items = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
+    plan = dc.contamination(docs, items)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Cartesian" not in plan

@@ -1,0 +1,70 @@
+"""Repeated passages against a plain reading of the rule."""
+
+import random
+
+import pytest
+
+from roadlens.llm import substring_dedup
+
+
+def plain(rows, window):
+    """Removed word positions per row, with every window looked up in order."""
+    seen, out = {}, {}
+    for doc_id, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        words = (text or "").encode().split()
+        gone = set()
+        for i in range(len(words) - window + 1):
+            key = tuple(words[i : i + window])
+            if seen.setdefault(key, (doc_id, i)) != (doc_id, i):
+                gone.update(range(i, i + window))
+        out[doc_id] = (len(words), len(gone), b" ".join(w for i, w in enumerate(words) if i not in gone).decode())
+    return out
+
+
+def result(df, **kw):
+    return {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.deduplicated(df, **kw).collect()}
+
+
+def test_whole_table(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    want = plain([(r["doc_id"], r["text"]) for r in docs.collect()], 20)
+    assert result(docs.repartition(4)) == want
+    assert sum(w[1] for w in want.values()) > 0
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_few_words_make_branching_paths(docs_of, seed):
+    rnd = random.Random(seed)
+    passages = [[rnd.choice("abcdefgh") for _ in range(rnd.randint(5, 60))] for _ in range(6)]
+    rows = []
+    for i in range(40):
+        words = []
+        for _ in range(rnd.randint(0, 4)):
+            p = rnd.choice(passages)
+            a = rnd.randrange(len(p))
+            words += p[a : a + rnd.randint(1, 60)] + [rnd.choice("xyzab") for _ in range(rnd.randint(0, 3))]
+        rows.append((i * 7 % 41, " ".join(words)))
+    assert result(docs_of(rows), window=5, shingle=2) == plain(rows, 5)
+
+
+def test_one_word_over_and_over(docs_of):
+    rows = [(1, "a " * 100), (2, "a " * 19), (3, "b " + "a " * 25), (4, "a b " * 50)]
+    assert result(docs_of(rows)) == plain(rows, 20)
+
+
+def test_odd_rows(odd, none):
+    got = substring_dedup.deduplicated(odd).collect()
+    assert len(got) == 9
+    by_id = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    assert (by_id[1]["n_words"], by_id[1]["kept_text"]) == (0, "")
+    assert (by_id[2]["n_words"], by_id[3]["n_words"]) == (0, 0)
+    assert (by_id[4]["n_words"], by_id[4]["n_removed"]) == (120000, 120000 - 22 + 0)
+    assert by_id[5]["kept_text"] == "same text here"
+    assert [r["n_words"] for r in got if r["doc_id"] is None] in ([3, 0], [0, 3])
+    assert substring_dedup.deduplicated(none).count() == 0
+
+
+def test_rows_that_repeat_are_one_document(docs_of):
+    text = " ".join(f"w{i}" for i in range(30))
+    got = substring_dedup.deduplicated(docs_of([(1, text), (1, text), (2, text)])).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(1, 0), (1, 0), (2, 30)]
