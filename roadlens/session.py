@@ -28,6 +28,15 @@ def configure(spark: SparkSession, streams: bool = False) -> SparkSession:
     return spark
 
 
+def name_shared_folder(spark: SparkSession, local: str) -> None:
+    """Give a local session without spark.checkpoint.dir a folder by name; sessions on a cluster have to bring theirs."""
+    context = spark.sparkContext
+    if context.master.split("[")[0] == "local" and not (
+        spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    ):
+        context.setCheckpointDir(local)
+
+
 def local_session(cores: str = "*", **settings: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("roadlens")

@@ -6,8 +6,6 @@ replaces its own folder, so writing is idempotent. The newest row of a key is it
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -17,18 +15,11 @@ from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it. Only a local session may do without one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="roadlens-")
+    """The folder all executors share: spark.checkpoint.dir, or the checkpoint folder the session was given by name."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
