@@ -137,10 +137,11 @@ def _removed(documents: DataFrame, window: int, shingle: int, kept: Kept) -> Dat
     known = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
     kind = documents.schema["doc_id"].dataType.simpleString()
     runs = kept.keep(known.mapInArrow(lambda b: _runs(b, window, shingle), _RUN.format(kind)), "runs")
-    again = runs.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m")
-    shared = runs.join(again, "m").select("doc_id", "start", "n").distinct()
-    lists = kept.keep(shared.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "candidates")
-    kept.drop("runs")
+    # kept apart, so that the join can split the rows of a frequent minimizer
+    again = kept.keep(runs.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"), "minimizers")
+    shared = runs.join(again, "m")
+    lists = kept.keep(shared.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n")).alias("runs")), "candidates")
+    kept.drop("runs", "minimizers")
     found = known.join(lists, "doc_id").mapInArrow(lambda b: _edges(b, window), _EDGE.format(kind))
     edges = kept.keep(found, "edges")
     paths = kept.keep(_paths(edges), "paths")
