@@ -60,9 +60,15 @@ def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarr
 
 def ftrl(
     rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, alpha: float = 0.5, beta: float = 1.0,
-    l1: float = 0.3, l2: float = 0.5, epochs: int = 3,
+    l1: float = 0.3, l2: float = 0.5, epochs: int = 3, balance: float = 4.0,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias after FTRL-proximal updates over rows (features, values, label), in the order given."""
+    """Weights and bias after FTRL-proximal updates over rows (features, values, label), in the order given.
+
+    Rows of the rarer label weigh up to ``balance`` times as much.
+    """
+    ones = sum(label for _, _, label in rows)
+    zeros = len(rows) - ones
+    weight = [min(balance, max(1.0, other / max(own, 1))) for own, other in ((zeros, ones), (ones, zeros))]
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
 
     def weights(i):
@@ -74,7 +80,7 @@ def ftrl(
         for index, value, label in rows:
             i, x = np.append(index, 1 << bits), np.append(value, 1.0)
             w = weights(i)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - label) * x
+            g = weight[label] * (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - label) * x
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
             z[i] += g - sigma * w
             n[i] += g * g

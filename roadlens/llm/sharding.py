@@ -37,7 +37,8 @@ def _propagated(linked: DataFrame, loads: dict[int, int], shards: int, rounds: i
     for i in range(rounds):
         votes = state.groupBy("grp", "label").agg(F.count("*").alias("votes"))
         most = votes.groupBy("grp").agg(F.max(F.struct("votes", F.xxhash64("grp", "label"), "label")).alias("most"))
-        wish = most.select("grp", F.col("most.label").alias("wish"))
+        # kept apart, so that the joins can split the rows of a large group
+        wish = kept.keep(most.select("grp", F.col("most.label").alias("wish")), f"wish-{i}")
         flow = votes.join(wish, "grp").groupBy("label", "wish").agg(F.sum("votes").alias("n")).collect()  # shards^2 rows
         here, out, into = dict(loads), dict.fromkeys(range(shards), 0), dict.fromkeys(range(shards), 0)
         for r in flow:

@@ -82,8 +82,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(both - ones), pa.array(ones)], ["h", "n0", "n1"])
 
 
-def fit(sample: DataFrame, max_features: int = MAX_FEATURES, alpha: float = 1.0, l2: float = 1.0) -> Model:
-    """Fit on a sample of (text, label). Without rows the score is 0, with one label it is near that label."""
+def fit(
+    sample: DataFrame, max_features: int = MAX_FEATURES, alpha: float = 1.0, l2: float = 5.0, balance: float = 3.0
+) -> Model:
+    """Fit on a sample of (text, label). Without rows the score is 0, with one label it is near that label.
+
+    The rarer toxic rows weigh up to ``balance`` times as much.
+    """
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 + n1:
@@ -118,19 +123,19 @@ def fit(sample: DataFrame, max_features: int = MAX_FEATURES, alpha: float = 1.0,
     y = rows["label"].to_numpy().astype(float)
     row = np.repeat(np.arange(len(rows)), rows["f"].map(len))
     column = np.concatenate(rows["f"].to_list()).astype(np.int64)
-    w, bias = _logistic(row, column, ratio, y, l2)
+    w, bias = _logistic(row, column, ratio, y, np.where(y == 1, np.clip(n0 / n1, 1, balance), 1.0), l2)
     return Model(keys, w * ratio, bias)
 
 
-def _logistic(row, column, ratio, y, l2: float, rounds: int = 300) -> tuple[np.ndarray, float]:
+def _logistic(row, column, ratio, y, weight, l2: float, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weights and bias of the regularised logistic loss, by gradient steps with Adam's scaling."""
     n, scaled = len(y), ratio[column]
     x = np.zeros(len(ratio) + 1)
-    x[-1] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
+    x[-1] = np.log((weight @ y + 0.5) / (weight @ (1 - y) + 0.5))
     m, v = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, rounds + 1):
         z = np.bincount(row, weights=scaled * x[column], minlength=n) + x[-1]
-        d = _sigmoid(z) - y
+        d = weight * (_sigmoid(z) - y)
         g = np.append(np.bincount(column, weights=scaled * d[row], minlength=len(ratio)) + l2 * x[:-1], d.sum()) / n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         x = x - 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
