@@ -19,7 +19,7 @@ from roadlens.llm.shared import chunks, in_fold, labelled_sample, utf8
 from roadlens.llm.words import Hashes
 
 BITS = 20
-MAX_ROWS = 5000
+MAX_ROWS = 3000
 
 # per byte: 0 white space, 1 letters, digits and all of UTF-8 beyond ASCII, 2 other characters
 _KIND = np.full(256, 2, dtype=np.uint8)
