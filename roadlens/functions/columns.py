@@ -33,53 +33,57 @@ def zero_pad(c: Column | str, width: int) -> Column:
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
-def day_text(c: Column | str) -> Column:
-    return F.substring_index(_col(c), " ", 1)
+# Day, hour of up to four digits, minute and second of a time text. Text that differs is no time to any helper.
+TIME_PATTERN = "^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}) ([0-9]{1,4}):([0-5]?[0-9]):([0-5]?[0-9])$"
+
 
+def is_time(c: Column | str) -> Column:
+    """Whether the text is 'yyyy-MM-dd HH:mm:ss' with a day of the calendar; hours may run past 23."""
+    c = _col(c)
+    return c.rlike(TIME_PATTERN) & F.substring_index(c, " ", 1).try_cast("date").isNotNull()
 
-def _clock(c: Column | str, part: int) -> Column:
-    """Text of the hour, minute or second (part 1, 2, 3) of 'yyyy-MM-dd HH:mm:ss'."""
-    clock = F.substring_index(_col(c), " ", -1)
-    return F.substring_index(F.substring_index(clock, ":", part), ":", -1)
+
+def _part(c: Column | str, group: int) -> Column:
+    """Day, hour, minute or second (group 1 to 4) of a time text, NULL when it is none."""
+    c = _col(c)
+    return F.when(is_time(c), F.regexp_extract(c, TIME_PATTERN, group))
+
+
+def day_text(c: Column | str) -> Column:
+    return _part(c, 1)
 
 
 def lenient_seconds(c: Column | str) -> Column:
     """Wall-clock seconds since 1970-01-01 of a time text, letting hours past 23 run into the next day.
 
     A plain number: sorts, slices and buckets need no time zone, and the text may hold hours such as 26 that
-    to_timestamp refuses. NULL when the text is malformed. Text of the full 19 characters is cut by position, which
-    takes half the time of looking for the separators.
+    to_timestamp refuses. NULL when the text is malformed.
     """
-    c = _col(c)
-
-    def seconds(day: Column, clock: list[Column]) -> Column:
-        h, m, s = (part.try_cast("int") for part in clock)
-        return F.unix_date(day.try_cast("date")).cast("bigint") * 86400 + h * 3600 + m * 60 + s
-
-    by_position = seconds(F.substring(c, 1, 10), [F.substring(c, start, 2) for start in (12, 15, 18)])
-    by_separator = seconds(day_text(c), [_clock(c, part) for part in (1, 2, 3)])
-    return F.when(F.length(c) == 19, by_position).otherwise(by_separator)
+    h, m, s = (_part(c, i).cast("int") for i in (2, 3, 4))
+    return F.unix_date(_part(c, 1).cast("date")).cast("bigint") * 86400 + h * 3600 + m * 60 + s
 
 
 def lenient_ts(c: Column | str) -> Column:
     """The same instant as a timestamp in the session time zone (needed for stream windows)."""
-    h, m, s = (_clock(c, p).try_cast("int") for p in (1, 2, 3))
-    midnight = day_text(c).try_cast("date").cast("timestamp")
-    return midnight + F.make_dt_interval(F.lit(0), h, m, s.cast("decimal(18,6)"))
+    h, m, s = (_part(c, i).cast("int") for i in (2, 3, 4))
+    return _part(c, 1).cast("date").cast("timestamp") + F.make_dt_interval(F.lit(0), h, m, s.cast("decimal(18,6)"))
 
 
 def hour_text(c: Column | str) -> Column:
-    return _clock(c, 1)
+    return _part(c, 2)
 
 
 def date_hour(c: Column | str) -> Column:
-    """'yyyy-MM-dd_HH', cut from the text as it stands (hour 26 stays 26)."""
-    return F.concat(day_text(c), F.lit("_"), _clock(c, 1))
+    """'yyyy-MM-dd_HH', cut from the text as it stands (hour 26 stays 26); NULL when the text is malformed."""
+    return F.concat(day_text(c), F.lit("_"), hour_text(c))
 
 
 def range_label(c: Column | str, minutes: int = 5) -> Column:
-    """Label of the bucket of the hour: 'day HH:mm~day HH:mm'; the last one of an hour ends at HH+1:00."""
-    day, hour, minute = day_text(c), _clock(c, 1), _clock(c, 2).try_cast("int")
+    """Label of the bucket of the hour: 'day HH:mm~day HH:mm'; the last one of an hour ends at HH+1:00.
+
+    NULL when the text is malformed.
+    """
+    day, hour, minute = day_text(c), hour_text(c), _part(c, 3).cast("int")
     start = minute - minute % minutes
     end = start + minutes
     two = lambda n: zero_pad(n.cast("string"), 2)

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from roadlens.functions.columns import FLOW_LEVELS, FLOW_THRESHOLDS, SPEED_BANDS, TIME_PATTERN
+
+_levels = " ".join(f"WHEN n > {limit} THEN '{name}'" for name, limit in zip(FLOW_LEVELS, FLOW_THRESHOLDS))
+_bands = " ".join(f"WHEN n >= {lower} THEN '{name}'" for name, lower in reversed(SPEED_BANDS))
+
 # The SQL function names and argument lists that existing queries call.
 _FUNCTIONS = (
     "concat_String_string(a STRING, b STRING, sep STRING) RETURNS STRING RETURN concat(a, sep, b)",
     "random_prefix(s STRING, n INT) RETURNS STRING NOT DETERMINISTIC "
     "RETURN concat(CAST(floor(rand(7) * n) AS INT), '_', s)",
     "remove_random_prefix(s STRING) RETURNS STRING RETURN substring(s, instr(s, '_') + 1)",
-    "safe_int(s STRING) RETURNS INT RETURN try_cast(s AS INT)",
+    "safe_int(s STRING) RETURNS INT RETURN CASE WHEN s RLIKE '^[+-]?[0-9]+$' THEN try_cast(s AS INT) END",
     "zero_pad(s STRING, n INT) RETURNS STRING RETURN CASE WHEN length(s) < n THEN lpad(s, n, '0') ELSE s END",
-    "date_hour(t STRING) RETURNS STRING RETURN concat(substring_index(t, ' ', 1), '_', "
-    "substring_index(substring_index(t, ' ', -1), ':', 1))",
-    "flow_level(n BIGINT) RETURNS STRING RETURN CASE WHEN n > 170 THEN 'A LEVEL' WHEN n > 160 THEN 'B LEVEL' "
-    "WHEN n > 150 THEN 'C LEVEL' ELSE 'D LEVEL' END",
-    "speed_band(n INT) RETURNS STRING RETURN CASE WHEN n >= 120 THEN 'high' WHEN n >= 90 THEN 'medium' "
-    "WHEN n >= 60 THEN 'normal' WHEN n >= 0 THEN 'low' END",
+    f"date_hour(t STRING) RETURNS STRING RETURN CASE WHEN t RLIKE '{TIME_PATTERN}' "
+    "AND try_cast(substring_index(t, ' ', 1) AS DATE) IS NOT NULL THEN concat("
+    f"regexp_extract(t, '{TIME_PATTERN}', 1), '_', regexp_extract(t, '{TIME_PATTERN}', 2)) END",
+    f"flow_level(n BIGINT) RETURNS STRING RETURN CASE {_levels} ELSE '{FLOW_LEVELS[-1]}' END",
+    f"speed_band(n INT) RETURNS STRING RETURN CASE {_bands} END",
 )
 
 

@@ -23,7 +23,7 @@ def _name_and_list(counted: DataFrame, areas: DataFrame) -> DataFrame:
     """From counts per (area, road, checkpoint) to one row per (area name, road).
 
     The join with the areas comes after the counting, so it sees one row per checkpoint of a road and not one per
-    passage. The list holds each checkpoint of a road once; its length is bounded by the checkpoints, not the traffic.
+    passage. The list holds each checkpoint of a road once; its length is bounded by the checkpoints, not the passages.
     """
     per_monitor = (
         enrich(counted, areas).groupBy("area_name", "road_id", "monitor_id").agg(F.sum("n").alias("n"))

@@ -19,8 +19,9 @@ def by_date_and_cars(passages: DataFrame, start: str, end: str, cars: Sequence[s
 
 
 def by_time_and_monitors(passages: DataFrame, after: str, before: str, monitors: Sequence[str]) -> DataFrame:
-    """Passages strictly between two time texts at the given checkpoints."""
+    """Passages strictly between two time texts at the given checkpoints; the days they imply prune partitions."""
     t = F.col("action_time")
+    passages = by_date(passages, after[:10], before[:10])
     return passages.where((t > after) & (t < before) & F.col("monitor_id").isin(list(monitors)))
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import SPEED_BANDS, lenient_seconds, safe_int, speed_band
+from roadlens.operators.sizing import is_small
+from roadlens.sinks import store
 
 
 def _seen(passages: DataFrame) -> DataFrame:
@@ -160,15 +162,18 @@ def fastest_passages(passages: DataFrame, monitors: DataFrame, top_n: int = 10,
 
     Passages below the speed floor of their checkpoint go before anything is sorted. The rank limit then applies
     before the shuffle as well (WindowGroupLimit), so a checkpoint with a third of all passages sends ``top_n`` rows
-    per task. The floors, one row per given checkpoint, are broadcast.
+    per task. The floors, one row per given checkpoint, are broadcast if the list is as short as it should be.
     """
     order = Window.partitionBy("monitor_id").orderBy(
         F.desc_nulls_last("speed_kmh"), F.asc("event_sec"), F.asc("car"), *[F.asc(t) for t in tie]
     )
     with_speed = passages.withColumn("speed_kmh", safe_int("speed"))
+    monitors = store.staged(monitors.select("monitor_id"), "monitors")
     floors = _speed_floor(passages_of(with_speed, monitors), top_n)
+    if is_small(monitors):
+        floors = F.broadcast(floors)
     return (
-        with_speed.join(F.broadcast(floors), "monitor_id")
+        with_speed.join(floors, "monitor_id")
         .where(F.col("every") | (F.col("speed_kmh") >= F.col("floor")))
         .withColumn("event_sec", lenient_seconds("action_time"))
         .withColumn("rn", F.row_number().over(order))

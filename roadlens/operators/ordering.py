@@ -7,13 +7,13 @@ which combine on the map side:
 * Ordinary keys have at most ``hot_rows`` rows each and go the direct way: one shuffle by key.
 * Hot keys are sliced along their own order, for example by hour. Counts per (key, slice) and a running sum over them
   give the number of rows before each slice; rows are ranked inside their slice only, and both add up to the exact
-  position. Their lists are built in parts of ``hot_rows`` consecutive positions.
+  position. Their lists are built in parts of consecutive positions.
 
-An ordinary key gives one row, part 0, with the whole list; a hot key gives as many rows as it has parts.
+Lists come in parts of ``part_rows`` items, for every key alike, so the rows of a result do not depend on ``hot_rows``,
+which decides on the plan only. A key with at most ``part_rows`` items gives one row, part 0, with the whole list.
 
-The hot keys are broadcast. Each stands for more than ``hot_rows`` rows, so there are fewer than rows / hot_rows of
-them: below a million keys, some 100 MB, for 10^12 rows. Without hot keys the broadcast is empty and adaptive execution
-drops the second way altogether.
+The hot keys are counted once, written to the shared folder, and broadcast if their number allows it. Each stands for
+more than ``hot_rows`` rows, so they are few. Without hot keys adaptive execution drops the second way altogether.
 """
 
 from __future__ import annotations
@@ -23,13 +23,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlens.operators.sizing import broadcast_if_small
+from roadlens.sinks import store
+
 HOT_ROWS = 1_000_000
+PART_ROWS = 1_000_000
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, and rows of keys with more than ``hot_rows`` rows. In a struct NULL keys match too."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = F.broadcast(counts.where(F.col("_rows") > hot_rows).select(F.struct(*keys).alias("_key")))
+    hot = counts.where(F.col("_rows") > hot_rows).select(F.struct(*keys).alias("_key"))
+    hot = broadcast_if_small(store.staged(hot, "hot"))
     keyed = df.withColumn("_key", F.struct(*keys))
     return tuple(keyed.join(hot, "_key", how).drop("_key") for how in ("left_anti", "left_semi"))
 
@@ -78,13 +83,14 @@ def ordered_lists(
     name: str,
     last: str | None = None,
     hot_rows: int = HOT_ROWS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """Join the items of each key in order, in parts where the key is hot.
+    """Join the items of each key in order, ``part_rows`` to a row.
 
     ``last`` is a column whose value at the last item of the part is kept.
     """
     ordinary, hot = split_hot(df, keys, hot_rows)
-    part = F.floor((F.col("pos") - 1) / hot_rows).cast("bigint").alias("part")
+    part = F.floor((F.col("pos") - 1) / part_rows).cast("bigint").alias("part")
 
     def join_items(grouped, by: Sequence[str]) -> DataFrame:
         places = [F.col(c).alias(f"o{i}") for i, c in enumerate(by)]
@@ -92,7 +98,10 @@ def ordered_lists(
         rows = F.sort_array(F.collect_list(F.struct(*places, item.alias("item"), *kept)))
         return grouped.agg(rows.alias("_rows"))
 
-    whole = join_items(ordinary.groupBy(*keys), order).withColumn("part", F.lit(0).cast("bigint"))
+    starts = F.sequence(F.lit(0), F.floor((F.size("_rows") - 1) / part_rows).cast("int"))
+    cut = F.transform(starts, lambda i: F.slice("_rows", i * part_rows + 1, part_rows))
+    whole = join_items(ordinary.groupBy(*keys), order).select(*keys, F.posexplode(cut).alias("part", "_rows"))
+    whole = whole.withColumn("part", F.col("part").cast("bigint"))
     parts = join_items(number_in_slices(hot, keys, order, slice_).groupBy(*keys, part), ["pos"])
     text = F.array_join(F.transform("_rows", lambda r: r["item"]), sep).alias(name)
     kept = [] if last is None else [F.element_at("_rows", -1)["last"].alias(last)]

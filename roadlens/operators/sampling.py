@@ -1,4 +1,4 @@
-"""A repeatable random sample of cars, spread over the hours as the traffic is."""
+"""A repeatable random sample of cars, spread over the hours as the passages are."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.columns import day_text, hour_text
 from roadlens.operators.ordering import slice_offsets
+from roadlens.operators.sizing import broadcast_if_small
+from roadlens.sinks import store
 
 # A sample has at most extract_num cars; up to this many are broadcast (about 50 MB), beyond it the join shuffles.
 BROADCAST_CARS = 1_000_000
@@ -53,7 +55,7 @@ def sample_cars(passages: DataFrame, extract_num: int, seed: int = 42) -> DataFr
     """Draw exactly the quota of each hour, without repetition: the cars with the smallest seeded hashes.
 
     An hour is cut into 256 slices by the first hash digits. Counts per slice tell how many slices the quota reaches
-    into; cars beyond them are dropped before the shuffle for the ranking, by a broadcast of one row per hour. No task
+    into; cars beyond them are dropped before the shuffle for the ranking, by a join with one row per hour, broadcast if the hours are few enough. No task
     ranks more than one slice of an hour.
     """
     text = F.concat_ws("|", F.lit(str(seed)), "date", "hour", "car")
@@ -65,10 +67,11 @@ def sample_cars(passages: DataFrame, extract_num: int, seed: int = 42) -> DataFr
         .join(quota, ["date", "hour"])
         .where(F.col("_before") < F.col("quota"))
     )
+    reached = store.staged(reached, "reached")
     last = reached.groupBy("date", "hour").agg(F.max("_group._slice").alias("last"))
     rank = F.row_number().over(Window.partitionBy("_group").orderBy("h", "car"))
     return (
-        cars.join(F.broadcast(last), ["date", "hour"])
+        cars.join(broadcast_if_small(last), ["date", "hour"])
         .where(F.col("head") <= F.col("last"))
         .withColumn("_group", F.struct("date", "hour", F.col("head").alias("_slice")))
         .join(reached.select("_group", "_before", "quota"), "_group")

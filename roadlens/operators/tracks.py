@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import lenient_seconds, range_label
-from roadlens.operators.ordering import HOT_ROWS, number_within, ordered_lists
+from roadlens.operators.ordering import HOT_ROWS, PART_ROWS, number_within, ordered_lists
 
 TIE = ("monitor_id", "camera_id")
 SLICE_SECONDS = 3600
@@ -31,20 +31,24 @@ def in_car_order(
     return number_within(_timed(passages, tie), ["car"], ["event_sec", *tie], _slice(slice_seconds), hot_rows)
 
 
-def car_track(passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def car_track(
+    passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, part_rows: int = PART_ROWS
+) -> DataFrame:
     """The checkpoints each car passed, 'm1,m2,…' in time order, with the date of the last of them."""
     return ordered_lists(
         _timed(passages, tie, "date"), ["car"], ["event_sec", *tie], _slice(), F.col("monitor_id"), ",", "track",
-        last="date", hot_rows=hot_rows,
+        last="date", hot_rows=hot_rows, part_rows=part_rows,
     )
 
 
-def car_track_times(passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def car_track_times(
+    passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, part_rows: int = PART_ROWS
+) -> DataFrame:
     """The same with times: 'm1=time|m2=time|…'."""
     item = F.concat("monitor_id", F.lit("="), "action_time")
     return ordered_lists(
         _timed(passages, tie, "action_time"), ["car"], ["event_sec", *tie], _slice(), item, "|", "track",
-        hot_rows=hot_rows,
+        hot_rows=hot_rows, part_rows=part_rows,
     )
 
 
@@ -63,18 +67,21 @@ def range_visits(passages: DataFrame, last_only: bool = True, tie: Sequence[str]
     return visits.withColumn("range_time", range_label("action_time", minutes))
 
 
-def cars_per_range(visits: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def cars_per_range(
+    visits: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, part_rows: int = PART_ROWS
+) -> DataFrame:
     """Per checkpoint and range: 'car=time|car=time' by time, then car. Also renders stored and new visits together."""
     order, item = ["event_sec", "car", *tie], F.concat("car", F.lit("="), "action_time")
     return ordered_lists(
-        visits, ["monitor_id", "range_time"], order, _slice(10), item, "|", "cars", hot_rows=hot_rows
+        visits, ["monitor_id", "range_time"], order, _slice(10), item, "|", "cars", hot_rows=hot_rows, part_rows=part_rows
     )
 
 
 def monitor_5min_cars(
-    passages: DataFrame, last_only: bool = True, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS
+    passages: DataFrame, last_only: bool = True, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    return cars_per_range(range_visits(passages, last_only, tie), tie, hot_rows)
+    return cars_per_range(range_visits(passages, last_only, tie), tie, hot_rows, part_rows)
 
 
 def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -> DataFrame:

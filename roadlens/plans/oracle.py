@@ -113,6 +113,8 @@ drawn AS (
           AS rn FROM cars) JOIN quotas USING (date, hour) WHERE rn <= quota),
 details AS (SELECT * FROM timed WHERE car IN (SELECT car FROM drawn))"""
 
+DIRTY_SAMPLE = SAMPLE.replace("car FROM passages)", "car FROM passages WHERE event_id % 8 NOT BETWEEN 1 AND 5)")
+
 CLICK_COUNTS = CLICKS + """,
 counts AS (
   SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, click_date, ip, user_id, ad_id,
@@ -154,6 +156,19 @@ SELECT event_id, date || '_' || hh AS date_hour, range_time, lpad(road_id,2,'0')
             WHEN CAST(speed AS int) >= 60 THEN 'normal' WHEN CAST(speed AS int) >= 0 THEN 'low' END AS band,
        sec AS event_sec, action_time AS event_time, car
 FROM labelled""",
+    "dirty_passage_labels": f"""WITH {TIMED}, {RANGE}
+SELECT event_id, CASE WHEN ok THEN date || '_' || hh END AS date_hour, CASE WHEN ok THEN range_time END AS range_time,
+       CASE WHEN ok THEN sec END AS event_sec, CASE WHEN ok THEN action_time END AS event_time
+FROM (SELECT *, event_id % 8 NOT BETWEEN 1 AND 5 AS ok FROM labelled)""",
+    "sample_quota_dirty": f"WITH {DIRTY_SAMPLE} SELECT date, hour, cars, day_cars, per_day, quota FROM quotas",
+    "sql_functions": f"""WITH {PASSAGES}, numbers AS (SELECT *, CAST(speed AS int) AS n FROM passages)
+SELECT event_id, monitor_id || '=' || camera_id AS joined, car AS salted_and_back, n AS speed_kmh,
+       CAST(NULL AS int) AS not_a_number, lpad(road_id, 2, '0') AS road,
+       date || '_' || substr(action_time, 12, 2) AS hour,
+       CASE WHEN n > 170 THEN 'A LEVEL' WHEN n > 160 THEN 'B LEVEL' WHEN n > 150 THEN 'C LEVEL' ELSE 'D LEVEL' END AS level,
+       CASE WHEN n >= 120 THEN 'high' WHEN n >= 90 THEN 'medium' WHEN n >= 60 THEN 'normal' WHEN n >= 0 THEN 'low' END AS band,
+       road_id AS last_a
+FROM numbers""",
     "filter_date_range": f"""WITH {PASSAGES}
 SELECT {ALL_FIELDS} FROM passages WHERE date >= '2024-01-05' AND date <= '2024-01-24'""",
     "filter_date_cars": f"""WITH {PASSAGES}

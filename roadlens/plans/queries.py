@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.functions import columns as c
+from roadlens.functions import registry
 from roadlens.operators import areas, clicks, filters, funnel, monitors, sampling, tracks
 from roadlens.plans import inputs
 from roadlens.plans.inputs import TIE
@@ -24,6 +25,8 @@ FLOW = ("0000", "0001", "0002")
 EXTRACT_NUM = 600
 HOUR = "1 hour"
 ROAD_WINDOW = ("1 hour", "10 minutes")
+# Options of the replayed streams, such as maxFilesPerTrigger.
+REPLAY: dict[str, str] = {}
 QUERIES: dict[str, Query] = {}
 
 
@@ -81,6 +84,53 @@ def _time_text_of(ts):
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
+def _dirty(spark, d):
+    """Passages whose times are damaged by event_id: no space, cut short, or out of range."""
+    t, i = F.col("action_time"), F.col("event_id") % 8
+    damaged = (
+        F.when(i == 1, F.replace(t, F.lit(" "), F.lit("T")))
+        .when(i == 2, F.substring(t, 1, 16))
+        .when(i == 3, F.substring(t, 1, 13))
+        .when(i == 4, F.substring(t, 1, 10))
+        .when(i == 5, F.concat(F.substring(t, 1, 11), F.lit("99:99:99")))
+        .otherwise(t)
+    )
+    return inputs.passages(spark, d).withColumn("action_time", damaged)
+
+
+@query
+def dirty_passage_labels(spark, d):
+    return _dirty(spark, d).select(
+        "event_id",
+        c.date_hour("action_time").alias("date_hour"),
+        c.range_label("action_time").alias("range_time"),
+        c.lenient_seconds("action_time").alias("event_sec"),
+        _time_text_of(c.lenient_ts("action_time")).alias("event_time"),
+    )
+
+
+@query
+def sample_quota_dirty(spark, d):
+    return sampling.sample_quota(_dirty(spark, d), EXTRACT_NUM)
+
+
+@query
+def sql_functions(spark, d):
+    registry.register(spark)
+    return inputs.passages(spark, d).select(
+        "event_id",
+        F.expr("concat_String_string(monitor_id, camera_id, '=')").alias("joined"),
+        F.expr("remove_random_prefix(random_prefix(car, 10))").alias("salted_and_back"),
+        F.expr("safe_int(speed)").alias("speed_kmh"),
+        F.expr("safe_int(concat(' ', speed))").alias("not_a_number"),
+        F.expr("zero_pad(road_id, 2)").alias("road"),
+        F.expr("date_hour(action_time)").alias("hour"),
+        F.expr("flow_level(safe_int(speed))").alias("level"),
+        F.expr("speed_band(safe_int(speed))").alias("band"),
+        F.element_at(c.map_from_concat(F.expr("concat('a=', car, '|b=', speed, '|a=', road_id)")), "a").alias("last_a"),
+    )
+
+
 # --- filters and joins
 
 
@@ -333,10 +383,11 @@ class _Run:
         return f"{self.base}/{name}"
 
     def events(self, closing: bool = True) -> DataFrame:
-        if not closing:
-            return common.replay(self.spark, self.folder, "events.parquet")
-        common.closing_row(inputs.table(self.spark, self.folder, "events"), "ts", self.path("closing"))
-        return common.replay(self.spark, self.folder, "events.parquet", self.path("closing"))
+        path = f"{self.folder}/events.parquet"
+        return common.replay(self.spark, path, self.path("closing") if closing else None, **REPLAY)
+
+    def close(self, start) -> None:
+        common.run_closed(start, inputs.table(self.spark, self.folder, "events"), "ts", self.path("closing"))
 
     def blacklist(self) -> str:
         path = self.path("blacklist")
@@ -349,14 +400,16 @@ class _Run:
 
 def _valid_clicks(run: _Run) -> None:
     events = inputs.clicks_of(run.events())
-    click_stream.start_valid_clicks(events, run.path("valid"), run.path("cp-valid"), HOUR, delay=HOUR).awaitTermination()
+    run.close(
+        lambda: click_stream.start_valid_clicks(events, run.path("valid"), run.path("cp-valid"), HOUR, delay=HOUR)
+    )
 
 
 @query
 def stream_road_state(spark, d):
     run = _Run(spark, d)
     rows = inputs.passages_of(run.events())
-    road.start_road_state(rows, run.path("out"), run.path("cp"), *ROAD_WINDOW, delay=HOUR).awaitTermination()
+    run.close(lambda: road.start_road_state(rows, run.path("out"), run.path("cp"), *ROAD_WINDOW, delay=HOUR))
     return run.read("out").select(_time_text("window_start"), "monitor_id", "speed_sum", "car_count", "mean_speed")
 
 
@@ -422,5 +475,5 @@ def stream_ad_blacklist(spark, d):
 def stream_active_users(spark, d):
     run = _Run(spark, d)
     kept = clicks.without_blacklisted(inputs.clicks_of(run.events()), inputs.blacklist(spark, d))
-    click_stream.start_active_users(kept, run.path("out"), run.path("cp"), HOUR, HOUR).awaitTermination()
+    run.close(lambda: click_stream.start_active_users(kept, run.path("out"), run.path("cp"), HOUR, HOUR))
     return clicks.count_users(run.read("out")).select(_time_text("window_start"), "active_users")

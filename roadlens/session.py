@@ -11,9 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # List-building aggregates go over to sorting at 128 keys per task by default. Lists here are short for most keys;
-    # hashing a few thousand of them halves the time, and beyond that sorting with spill still takes over.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
 }
 # Large stream state belongs on disk.
 STREAM_SETTINGS = {
@@ -45,6 +42,8 @@ def local_session(cores: str = "*", **settings: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        # Lists of the few keys of small tables: hashing a few thousand halves the time.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     }
     for key, value in {**SETTINGS, **defaults, **settings}.items():
         builder = builder.config(key, value)

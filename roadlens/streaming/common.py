@@ -48,21 +48,39 @@ def per_batch(
 
 
 def closing_row(table: DataFrame, ts: str, path: str, after: str = "2 days") -> None:
-    """Write one row that lies ``after`` the newest time of a finite table, all other columns NULL.
+    """Add one row that lies ``after`` the newest time of a finite table, all other columns NULL.
 
     Append mode gives out a window once the watermark has passed it, so a replay of a finite table would end with its
     last windows still open. A stream that also reads this row closes them; the row's own window stays open.
     """
     last = table.agg((F.max(ts) + F.expr(f"INTERVAL {after}")).alias(ts))
     others = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != ts]
-    last.select(ts, *others).select(*table.columns).write.mode("overwrite").parquet(path)
+    last.select(ts, *others).select(*table.columns).write.mode("append").parquet(path)
 
 
-def replay(spark: SparkSession, folder: str, table: str, closing: str | None = None, **options: str) -> DataFrame:
-    """Read one Parquet table of a folder as a stream, with its closing row if there is one."""
-    schema = spark.read.parquet(f"{folder}/{table}").schema
-    stream = spark.readStream.schema(schema).options(**options)
-    rows = stream.option("pathGlobFilter", table).parquet(folder)
+def replay(spark: SparkSession, path: str, closing: str | None = None, **options: str) -> DataFrame:
+    """Read one Parquet table, a file or a folder of files, as a stream, and the rows of ``closing`` with it.
+
+    ``closing`` is a folder of the same columns that may still be empty: see ``run_closed``.
+    """
+    table = spark.read.parquet(path)
+    files = table.inputFiles()
+    if not files:
+        raise ValueError(f"{path} has no files")
+    stream = spark.readStream.schema(table.schema).options(**options)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if len(files) == 1 and files[0].endswith(f"/{name}"):  # streams read folders: of this one only that file
+        rows = stream.option("pathGlobFilter", name).parquet(folder or "/")
+    else:
+        rows = stream.parquet(path)
     if closing is None:
         return rows
-    return rows.unionByName(spark.readStream.schema(schema).parquet(closing))
+    table.limit(0).write.mode("ignore").parquet(closing)
+    return rows.unionByName(spark.readStream.schema(table.schema).parquet(closing))
+
+
+def run_closed(start: Callable[[], StreamingQuery], table: DataFrame, ts: str, closing: str) -> None:
+    """Run a replay to its end, then once more on its checkpoint with the closing row, which so comes after all data."""
+    start().awaitTermination()
+    closing_row(table, ts, closing)
+    start().awaitTermination()

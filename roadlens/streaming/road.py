@@ -19,10 +19,11 @@ def road_state(passages: DataFrame, window: str = "1 minute", slide: str = "10 s
     plain sliding window would copy every row window/slide times and keep as many states.
     """
     panes = passages.groupBy(F.window("event_ts", slide).alias("pane"), "monitor_id").agg(
-        F.sum(safe_int("speed").cast("bigint")).alias("speed_sum"), F.count("*").alias("car_count")
+        F.sum(safe_int("speed").cast("bigint")).alias("speed_sum"), F.count("*").alias("car_count"),
+        F.count(safe_int("speed")).alias("speeds"),
     )
     windows = panes.groupBy(F.window(F.window_time("pane"), window, slide).alias("w"), "monitor_id").agg(
-        F.sum("speed_sum").alias("speed_sum"), F.sum("car_count").alias("car_count")
+        F.sum("speed_sum").alias("speed_sum"), F.sum("car_count").alias("car_count"), F.sum("speeds").alias("speeds")
     )
     return _with_mean(windows)
 
@@ -30,13 +31,15 @@ def road_state(passages: DataFrame, window: str = "1 minute", slide: str = "10 s
 def road_state_now(passages: DataFrame, window: str = "1 minute", slide: str = "10 seconds") -> DataFrame:
     """The same as one aggregation, which update and complete mode need: windows are given out while still open."""
     windows = passages.groupBy(F.window("event_ts", window, slide).alias("w"), "monitor_id").agg(
-        F.sum(safe_int("speed").cast("bigint")).alias("speed_sum"), F.count("*").alias("car_count")
+        F.sum(safe_int("speed").cast("bigint")).alias("speed_sum"), F.count("*").alias("car_count"),
+        F.count(safe_int("speed")).alias("speeds"),
     )
     return _with_mean(windows)
 
 
 def _with_mean(windows: DataFrame) -> DataFrame:
-    mean = F.col("speed_sum").cast("double") / F.col("car_count").cast("double")
+    """The mean is over the passages whose speed is a number, NULL without any; car_count counts all."""
+    mean = F.when(F.col("speeds") > 0, F.col("speed_sum").cast("double") / F.col("speeds").cast("double"))
     return windows.select(
         F.col("w.start").alias("window_start"), "monitor_id", "speed_sum", "car_count", mean.alias("mean_speed")
     )

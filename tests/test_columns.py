@@ -90,3 +90,12 @@ def test_first_param(spark):
 def test_sql_functions(spark, call, want):
     register(spark)
     assert spark.sql(f"SELECT {call}").first()[0] == want
+
+
+def test_malformed_times_are_null_to_every_helper(spark):
+    bad = ["2024-01-05 12:30", "2024-01-05 12", "2024-01-05 99:99:99", "2024-01-05", "2024-01-05T12:30:00", "2024-13-05 10:00:00", "2024-01-05 10:60:00", ""]
+    for helper in (c.day_text, c.hour_text, c.date_hour, c.range_label, c.lenient_seconds, lambda v: c.lenient_ts(v).cast("string")):
+        assert values(spark, helper, bad) == [None] * len(bad)
+    register(spark)
+    assert values(spark, lambda v: F.call_function("date_hour", v), [*bad, "2024-01-05 26:00:00"])[-2:] == [None, "2024-01-05_26"]
+    assert values(spark, lambda v: F.call_function("safe_int", v), [" 12 ", "12"]) == [None, 12]

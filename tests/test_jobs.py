@@ -134,13 +134,13 @@ class Session:
 
     def __init__(self, master, folder=None):
         self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master})
+        self.sparkContext = type("Context", (), {"master": master, "getCheckpointDir": staticmethod(lambda: None)})
 
 
 def test_shared_folder(spark):
     assert store.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert store.shared_folder(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     assert store.shared_folder(Session("local[4]", "/named")) == "/named"
-    with pytest.raises(RuntimeError):
-        store.shared_folder(Session("yarn"))
-    assert store.shared_folder(Session("local[4]")) == store.shared_folder(Session("local[4]"))
+    for master in ("yarn", "local[4]"):
+        with pytest.raises(RuntimeError):
+            store.shared_folder(Session(master))

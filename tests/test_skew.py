@@ -32,22 +32,24 @@ def tracks_by_hand(rows):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10, 100, 10**6])
-def test_tracks_in_parts(make_passages, hot_rows):
+@pytest.mark.parametrize("hot_rows", [10, 10**6])
+@pytest.mark.parametrize("part_rows", [1, 10, 100, 10**6])
+def test_tracks_in_parts(make_passages, part_rows, hot_rows):
+    """The parts follow from part_rows alone, whatever is taken for hot."""
     rows = rows_with_hot_car()
-    got = tracks.car_track_times(make_passages(rows), ["event_id"], hot_rows=hot_rows).collect()
+    got = tracks.car_track_times(make_passages(rows), ["event_id"], hot_rows, part_rows).collect()
     want = tracks_by_hand(rows)
-    assert max(r.track.count("|") for r in got) == max(min(hot_rows, len(t)) for t in want.values()) - 1
+    assert max(r.track.count("|") for r in got) == max(min(part_rows, len(t)) for t in want.values()) - 1
     joined = {}
     for r in sorted(got, key=lambda r: (r.car, r.part)):
-        assert r.part == len(joined.setdefault(r.car, [])) // hot_rows
+        assert r.part == len(joined.setdefault(r.car, [])) // part_rows
         joined[r.car] += [tuple(x.split("=")) for x in r.track.split("|")]
     assert joined == want
 
 
 def test_date_of_a_part_is_that_of_its_last_passage(make_passages):
     rows = rows_with_hot_car()
-    got = {(r.car, r.part): r.date for r in tracks.car_track(make_passages(rows), ["event_id"], 10).collect()}
+    got = {(r.car, r.part): r.date for r in tracks.car_track(make_passages(rows), ["event_id"], 50, 10).collect()}
     for car, track in tracks_by_hand(rows).items():
         for part in range(0, len(track), 10):
             assert got.pop((car, part // 10)) == track[part : part + 10][-1][1][:10]
@@ -64,7 +66,7 @@ def test_positions_do_not_depend_on_the_slices(make_passages, hot_rows, slice_se
 
 def test_cars_per_range_in_parts(make_passages):
     rows = [(f"C{i:03d}", "m0", text(43200 + i % 300)) for i in range(250)]
-    got = tracks.monitor_5min_cars(make_passages(rows), hot_rows=20).orderBy("part").collect()
+    got = tracks.monitor_5min_cars(make_passages(rows), part_rows=20).orderBy("part").collect()
     assert [r.part for r in got] == list(range(13)) and max(r.cars.count("|") for r in got) == 19
     listed = "|".join(r.cars for r in got).split("|")
     assert listed == [f"{c}={t}" for c, _, t in sorted(rows, key=lambda r: (r[2], r[0]))]
@@ -134,7 +136,7 @@ def test_salted_flow_is_the_same(spark, make_passages, salts):
 def test_lists_by_another_key(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     got = ordered_lists(
-        df, ["k"], ["id"], F.floor(F.col("id") / 7), F.col("id").cast("string"), ",", "ids", hot_rows=8
+        df, ["k"], ["id"], F.floor(F.col("id") / 7), F.col("id").cast("string"), ",", "ids", hot_rows=8, part_rows=8
     ).collect()
     for k in range(3):
         parts = [r.ids for r in sorted(got, key=lambda r: r.part) if r.k == k]
@@ -143,7 +145,7 @@ def test_lists_by_another_key(spark):
 
 def test_a_hot_null_key_is_split_too(spark, make_passages):
     p = make_passages([(None, "m", text(i)) for i in range(30)] + [("C1", "m", text(i)) for i in range(5)])
-    got = sorted((r.car or "", r.part, r.track.count("m")) for r in tracks.car_track(p, hot_rows=10).collect())
+    got = sorted((r.car or "", r.part, r.track.count("m")) for r in tracks.car_track(p, hot_rows=10, part_rows=10).collect())
     assert got == [("", 0, 10), ("", 1, 10), ("", 2, 10), ("C1", 0, 5)]
     numbered = number_within(p, ["car"], ["event_id"], F.floor(F.col("event_id") / 4), 10)
     assert sorted(r.pos for r in numbered.where("car IS NULL").collect()) == list(range(1, 31))

@@ -1,5 +1,7 @@
 """Streams fed file by file: restarts, late rows, live lists, and agreement with the batch operators."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,22 +115,14 @@ def test_totals_over_many_files_equal_the_batch_chain(spark, tmp_path, folder):
     for low, high in zip([-1, *edges], [*edges, 10**9]):
         feed.add(ordered.where((F.col("event_id") > low) & (F.col("event_id") <= high)))
     closing = str(tmp_path / "closing")
-    common.closing_row(events, "ts", closing)
-    rows = feed.stream().unionByName(spark.readStream.schema(events.schema).parquet(closing))
+    rows = common.replay(spark, str(tmp_path / "in"), closing, maxFilesPerTrigger="1")
     banned = inputs.blacklist(spark, folder)
     valid, listed, out = (str(tmp_path / n) for n in ("valid", "listed", "totals"))
-    # the closing row comes with the first file, so allow rows to be as late as it is early
-    clicks.start_valid_clicks(
-        inputs.clicks_of(rows), valid, str(tmp_path / "cp1"), "1 hour", delay="60 days"
-    ).awaitTermination()
-    assert spark.read.schema(clicks.COUNTS).parquet(valid).count() == 0
+    start = lambda: clicks.start_valid_clicks(
+        inputs.clicks_of(rows), valid, str(tmp_path / "cp1"), "1 hour", delay="1 hour"
+    )
+    common.run_closed(start, events, "ts", closing)
     clicks.create_blacklist(spark, listed, banned)
-    late = events.selectExpr("max(ts) + INTERVAL 90 days AS ts")
-    others = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name != "ts"]
-    feed.add(late.select("ts", *others).select(*events.columns))
-    clicks.start_valid_clicks(
-        inputs.clicks_of(rows), valid, str(tmp_path / "cp1"), "1 hour", delay="60 days"
-    ).awaitTermination()
     clicks.start_totals(
         clicks.read_valid_clicks(spark, valid), listed, out, str(tmp_path / "cp2"), threshold=10**6
     ).awaitTermination()
@@ -257,3 +251,39 @@ def test_records(spark):
     assert parse_passages(spark.createDataFrame([line("A", "m", "10:00:00", "1")], "value string")).columns == [
         *PASSAGE_FIELDS, "event_ts",
     ]
+
+
+@pytest.mark.parametrize("form", ["8 files", "one file a batch"])
+@pytest.mark.parametrize("name", ["stream_road_state", "stream_ad_valid", "stream_watchlist", "stream_active_users"])
+def test_replays_read_every_file_of_a_table(spark, folder, con, tmp_path, name, form, monkeypatch):
+    from compare import check
+
+    from roadlens.plans import oracle, queries
+
+    copy = tmp_path / "tables"
+    copy.mkdir()
+    for table in ("customer", "supplier"):
+        (copy / f"{table}.parquet").symlink_to(f"{folder}/{table}.parquet")
+    events, target = inputs.table(spark, folder, "events"), str(copy / "events.parquet")
+    edges = [r[0] for r in events.selectExpr("explode(percentile_approx(ts, array(0.2, 0.4, 0.6, 0.8)))").collect()]
+    for low, high in zip([None, *edges], [*edges, None]):
+        after = F.lit(True) if low is None else F.col("ts") > F.lit(low)
+        until = F.lit(True) if high is None else F.col("ts") <= F.lit(high)
+        events.where(after & until).coalesce(1 if form != "8 files" else 2).write.mode("append").parquet(target)
+        time.sleep(0.05)  # files are read in the order of their times
+    if form != "8 files":
+        monkeypatch.setattr(queries, "REPLAY", {"maxFilesPerTrigger": "1"})
+    assert check(queries.QUERIES[name](spark, str(copy)), con, oracle.ORACLE[name]) > 0
+
+
+def test_a_replay_of_nothing_fails(spark, tmp_path):
+    with pytest.raises(Exception):
+        common.replay(spark, str(tmp_path / "missing"))
+
+
+def test_mean_speed_leaves_out_what_is_no_number(spark):
+    rows = spark.createDataFrame([("m", "10"), ("m", "x"), ("n", "x")], "monitor_id string, speed string")
+    rows = rows.withColumn("event_ts", F.lit("2024-01-05 10:00:01").cast("timestamp"))
+    for state in (road.road_state, road.road_state_now):
+        got = {(r.monitor_id, r.car_count, r.mean_speed) for r in state(rows).collect()}
+        assert got == {("m", 2, 10.0), ("n", 1, None)}
