@@ -1,9 +1,9 @@
 """Shards of equal row counts that keep equal texts together, by balanced label propagation in DataFrame functions.
 
 The graph links documents with equal texts; a group of copies stands for its links, so no pairs are made. Documents
-start on shards by hash. In each round a group's documents want to go where most of it already is; joins bring the
-votes to the documents, and a shard takes in only so many as its capacity leaves room for, chosen by hash. A group
-larger than a shard fills the room document by document, smaller ones move whole.
+start on shards by hash, those of a large group together. In each round a group's documents want to go where most of
+it already is; joins bring the votes to the documents, and a shard takes in only so many as its capacity leaves room
+for, chosen by hash. Large groups move document by document, smaller ones whole.
 
 Propagation leaves sizes within the slack. The exact law comes from one order of all documents: by label, and within a
 label linked groups between unlinked documents; cutting it into equal ranges moves mostly unlinked documents at the
@@ -102,14 +102,17 @@ def sharded(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, sl
         ),
         "documents",
     )
-    first = F.pmod(F.xxhash64(F.lit(0), "row"), F.lit(shards)).cast("int").alias("label")
+    total = base.count()
+    # a group that would fill a good part of a shard starts in one place: the final cut spreads it over neighbours
+    large = F.coalesce(F.col("n") > total / shards / 8, F.lit(False))
+    seed = F.when(large, F.xxhash64(F.lit(0), "grp")).otherwise(F.xxhash64(F.lit(0), "row"))
+    first = F.pmod(seed, F.lit(shards)).cast("int").alias("label")
     groups = kept.keep(base.where("grp is not null").groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "groups")
-    joined = kept.keep(base.select("row", "grp", first).join(groups, "grp", "left"), "labelled")
+    joined = kept.keep(base.select("row", "grp").join(groups, "grp", "left").withColumn("label", first), "labelled")
     alone = joined.where("n is null").select("row", F.lit(None).cast("string").alias("grp"), "n", "label")
     loads = {r["label"]: r["n"] for r in alone.groupBy("label").agg(F.count("*").alias("n")).collect()}  # shards rows
     linked = _propagated(joined.where("n is not null").select("row", "grp", "n", "label"), loads, shards, rounds, slack, kept)
     ranked = _ranked(linked.unionByName(alone), kept)
-    total = base.count()
     position = F.col("rank")
     shard = F.floor(position * shards / F.lit(max(total, 1))).cast("int")
     begin = F.ceil(F.col("shard") * F.lit(total) / shards)
