@@ -10,6 +10,9 @@ word, and both are as many. As all occurrences of a path run side by side, its w
 occur first; so a path is a run of first coordinates in one document. Only the ends of paths then meet their
 occurrences in a join, and coordinates verify each span: head and tail have to lie as far apart as the path is long.
 Every occurrence but the first is removed.
+
+Equal texts enter the graph once: all windows of a copy start earlier in the copy with the smallest doc_id, so a group
+of copies costs a digest per row, however large it is.
 """
 
 from __future__ import annotations
@@ -132,11 +135,25 @@ def _paths(edges: DataFrame) -> DataFrame:
     )
 
 
+def _copies(known: DataFrame, kept: Kept) -> DataFrame:
+    """The doc_ids of one row whose text a smaller doc_id has as well."""
+    digests = kept.keep(known.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest")), "digests")
+    groups = digests.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    # kept apart, so that the join can split the rows of a large group
+    first = kept.keep(groups.select("digest", "least"), "first")
+    single = digests.groupBy("doc_id").agg(F.first("digest").alias("digest"), F.count("*").alias("n")).where("n = 1")
+    copies = kept.keep(single.join(first, "digest").where("doc_id > least").select("doc_id"), "copies")
+    kept.drop("digests", "first")
+    return copies
+
+
 def _removed(documents: DataFrame, window: int, shingle: int, kept: Kept) -> DataFrame:
-    """Per document the spans (start, words) to remove."""
+    """Per document the spans (start, words) to remove; of copies everything."""
     known = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
     kind = documents.schema["doc_id"].dataType.simpleString()
-    runs = kept.keep(known.mapInArrow(lambda b: _runs(b, window, shingle), _RUN.format(kind)), "runs")
+    copies = _copies(known, kept)
+    found = known.mapInArrow(lambda b: _runs(b, window, shingle), _RUN.format(kind))
+    runs = kept.keep(found.join(copies, "doc_id", "left_anti").select("m", "doc_id", "start", "n"), "runs")
     # kept apart, so that the join can split the rows of a frequent minimizer
     again = kept.keep(runs.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"), "minimizers")
     shared = runs.join(again, "m")
@@ -158,8 +175,10 @@ def _removed(documents: DataFrame, window: int, shingle: int, kept: Kept) -> Dat
         .where(F.col("ends") == F.when(F.col("path.length") > 1, 2).otherwise(1))
     )
     span = F.struct("start", (F.col("path.length") + window - 1).alias("n"))
-    removed = kept.keep(spans.groupBy("doc_id").agg(F.collect_set(span).alias("spans")), "spans")
-    kept.drop("candidates", "edges", "paths")
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("n")))
+    listed = spans.groupBy("doc_id").agg(F.collect_set(span).alias("spans"))
+    removed = kept.keep(listed.union(copies.select("doc_id", whole)), "spans")
+    kept.drop("copies", "candidates", "edges", "paths")
     return removed
 
 
@@ -192,7 +211,7 @@ def deduplicated(
             out, n, gone = [], [], []
             for text, spans in zip(utf8(batch), batch.column("spans").to_pylist()):
                 parts = text.split()
-                rest = kept_words(parts, spans)
+                rest = kept_words(parts, spans if len(parts) >= window else None)
                 out.append(b" ".join(rest))
                 n.append(len(parts))
                 gone.append(len(parts) - len(rest))

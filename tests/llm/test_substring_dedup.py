@@ -68,3 +68,18 @@ def test_rows_that_repeat_are_one_document(docs_of):
     text = " ".join(f"w{i}" for i in range(30))
     got = substring_dedup.deduplicated(docs_of([(1, text), (1, text), (2, text)])).collect()
     assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(1, 0), (1, 0), (2, 30)]
+
+
+def test_copies_go_whole_and_their_first_text_stays_in_the_graph(docs_of):
+    long, other = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30))
+    rows = [(9, long), (4, long), (7, "x " + long), (2, other[:-1] + "z"), (5, "short"), (6, "short"), (8, "w1\t" + long)]
+    got = result(docs_of(rows))
+    assert got == plain(rows, 20)
+    assert (got[9][1], got[4][1], got[6][1]) == (30, 0, 0)
+
+
+def test_a_doc_id_with_two_texts_is_no_copy_as_a_whole(docs_of):
+    long, other = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(40))
+    got = substring_dedup.deduplicated(docs_of([(1, long), (3, long), (3, other)])).collect()
+    assert max(r["n_removed"] for r in got if r["n_words"] == 30) == 30
+    assert [r["n_removed"] for r in got if r["doc_id"] == 1] == [0]
