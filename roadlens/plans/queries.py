@@ -474,6 +474,10 @@ def stream_ad_blacklist(spark, d):
 @query
 def stream_active_users(spark, d):
     run = _Run(spark, d)
-    kept = clicks.without_blacklisted(inputs.clicks_of(run.events()), inputs.blacklist(spark, d))
-    run.close(lambda: click_stream.start_active_users(kept, run.path("out"), run.path("cp"), HOUR, HOUR))
+    records, listed = inputs.clicks_of(run.events()), run.blacklist()
+    run.close(
+        lambda: click_stream.start_active_users(
+            records, run.path("out"), run.path("cp"), HOUR, HOUR, blacklist_path=listed
+        )
+    )
     return clicks.count_users(run.read("out")).select(_time_text("window_start"), "active_users")

@@ -34,6 +34,22 @@ def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")
 
 
+def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Tie a store to the checkpoint that numbers its batches; fail if it belongs to another one.
+
+    A new checkpoint numbers from 0 again, so its rows would pass for older than what the store holds. It needs a store
+    of its own, which ``compact`` makes from the old one.
+    """
+
+    def run_of(folder: str, name: str) -> str:
+        spark.createDataFrame([(name,)], "run string").coalesce(1).write.mode("ignore").text(folder)
+        return spark.read.text(folder).first()[0]
+
+    own = run_of(f"{checkpoint}/_run", uuid.uuid4().hex)
+    if run_of(f"{path}/_run", own) != own:
+        raise ValueError(f"the store {path} belongs to another checkpoint than {checkpoint}")
+
+
 def put(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

@@ -42,6 +42,7 @@ def blacklist(spark: SparkSession, path: str, before: int | None = None) -> Data
 def start_filter(records: DataFrame, blacklist_path: str, path: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
     """Records of users that are not listed. The blacklist is read again for every batch."""
     store.create(records.sparkSession, path, records.schema)
+    store.claim(records.sparkSession, path, checkpoint)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         listed = blacklist(batch.sparkSession, blacklist_path)
@@ -73,6 +74,8 @@ def start_totals(
     """
     spark = valid.sparkSession
     store.create(spark, path, TOTALS)
+    for owned in (path, blacklist_path):
+        store.claim(spark, owned, checkpoint)
 
     def update(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -90,7 +93,20 @@ def read_totals(spark: SparkSession, path: str) -> DataFrame:
 
 def start_active_users(
     records: DataFrame, path: str, checkpoint: str, window: str = "10 seconds", delay: str = "1 minute",
-    trigger: dict = ONCE,
+    trigger: dict = ONCE, blacklist_path: str | None = None,
 ) -> StreamingQuery:
-    """Append each user once per interval when the watermark has passed it; operators.clicks.count_users counts them."""
-    return to_files(ops.user_windows(records.withWatermark("event_ts", delay), window), path, checkpoint, trigger)
+    """Append each user once per interval when the watermark has passed it; operators.clicks.count_users counts them.
+
+    With a blacklist, which is read again for every batch, users listed by then are left out and ``path`` is a store.
+    """
+    rows = ops.user_windows(records.withWatermark("event_ts", delay), window)
+    if blacklist_path is None:
+        return to_files(rows, path, checkpoint, trigger)
+    store.create(records.sparkSession, path, rows.schema)
+    store.claim(records.sparkSession, path, checkpoint)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        listed = blacklist(batch.sparkSession, blacklist_path)
+        store.put(ops.without_blacklisted(batch, listed).select(*batch.columns), path, batch_id)
+
+    return per_batch(rows, keep, checkpoint, trigger=trigger)

@@ -60,6 +60,7 @@ def start_road_state_now(
     """Keep the current value of every window in a store (read it with store.read_latest)."""
     rows = road_state_now(passages.withWatermark("event_ts", delay), window, slide)
     store.create(passages.sparkSession, path, rows.schema)
+    store.claim(passages.sparkSession, path, checkpoint)
     return per_batch(rows, lambda batch, i: store.put(batch, path, i), checkpoint, "update", trigger)
 
 
@@ -69,6 +70,7 @@ def start_watchlist(
     """Passages of wanted plates. The list is read again for every batch; its file size decides on broadcasting."""
     spark = passages.sparkSession
     store.create(spark, path, passages.schema)
+    store.claim(spark, path, checkpoint)
 
     def match(batch: DataFrame, batch_id: int) -> None:
         wanted = read_list(batch.sparkSession, list_path, "car")

@@ -144,3 +144,27 @@ def test_shared_folder(spark):
     for master in ("yarn", "local[4]"):
         with pytest.raises(RuntimeError):
             store.shared_folder(Session(master))
+
+
+def test_tasks_and_areas_of_a_database(spark, data, tmp_path, monkeypatch):
+    """Only the calls: no database may be started here."""
+    from roadlens import __main__ as command
+
+    passages, _, areas = data
+    task = (3, "", "", "", "", "", "", '{"startDate":["2024-01-05"],"endDate":["2024-01-09"]}')
+    tables_ = {"task": spark.createDataFrame([task], TASKS), "area_info": areas}
+    asked = []
+
+    def from_database(spark, url, table, user, password):
+        asked.append((url, table, user, password))
+        return tables_[table]
+
+    monkeypatch.setattr(command, "read_jdbc", from_database)
+    monkeypatch.setenv("ROADLENS_SOURCE_PASSWORD", "p")
+    passages.write.parquet(f"{tmp_path}/passages")
+    main([
+        "area-top3", "--task-id", "3", "--tasks", "task", "--passages", f"{tmp_path}/passages", "--out", f"{tmp_path}/out",
+        "--source-jdbc-url", "jdbc:x", "--source-jdbc-user", "u",
+    ])
+    assert asked == [("jdbc:x", "task", "u", "p"), ("jdbc:x", "area_info", "u", "p")]
+    assert saved(spark, f"{tmp_path}/out/areaTop3Road").count() == 21

@@ -1,5 +1,6 @@
 """Streams fed file by file: restarts, late rows, live lists, and agreement with the batch operators."""
 
+import os
 import time
 
 import pytest
@@ -287,3 +288,76 @@ def test_mean_speed_leaves_out_what_is_no_number(spark):
     for state in (road.road_state, road.road_state_now):
         got = {(r.monitor_id, r.car_count, r.mean_speed) for r in state(rows).collect()}
         assert got == {("m", 2, 10.0), ("n", 1, None)}
+
+
+def test_a_store_of_another_checkpoint_is_refused(spark, tmp_path):
+    """A new checkpoint numbers its batches from 0 again and would answer with old totals."""
+    valid = Feed(spark, tmp_path / "valid", clicks.COUNTS)
+    listed, out = str(tmp_path / "listed"), str(tmp_path / "totals")
+    clicks.create_blacklist(spark, listed)
+    when = click(spark, "10:00:00", "u")[0]
+    valid.add([(when, *click(spark, "10:00:00", "u")[1:], 1)] * 2)
+
+    def run(cp):
+        clicks.start_totals(clicks.read_valid_clicks(spark, valid.path), listed, out, str(tmp_path / cp)).awaitTermination()
+
+    run("cp")
+    run("cp")
+    with pytest.raises(ValueError):
+        run("new")
+    assert totals(clicks.read_totals(spark, out)) == {("u", "a"): 2}
+
+
+def test_active_users_leave_out_who_is_listed_between_batches(spark, tmp_path, feed):
+    listed, out, cp = (str(tmp_path / n) for n in ("listed", "out", "cp"))
+    clicks.create_blacklist(spark, listed)
+
+    def run():
+        clicks.start_active_users(feed.stream(), out, cp, blacklist_path=listed).awaitTermination()
+        return sorted((r.window_start.minute, r.user_id) for r in spark.read.parquet(out).collect())
+
+    feed.add([click(spark, "10:00:01", "u"), click(spark, "10:00:01", "v")])
+    feed.add([click(spark, "10:05:00", "u"), click(spark, "10:05:00", "v")])
+    assert run() == [(0, "u"), (0, "v")]
+    store.put(spark.createDataFrame([("u",)], "user_id string"), listed, 0)
+    feed.add([click(spark, "10:10:00", "w")])
+    assert run() == [(0, "u"), (0, "v"), (5, "v")]
+
+
+def test_stream_jobs_from_the_command_line(spark, tmp_path, stream_settings):
+    from roadlens.__main__ import main
+
+    folder = tmp_path / "lines"
+    folder.mkdir()
+
+    def put(name, minute, *rows):
+        (folder / name).write_text("".join(f"{r}\n" for r in rows))
+        at = 1_700_000_000 + 60 * minute
+        os.utime(folder / name, (at, at))
+
+    def run(job, *more):
+        main([job, "--lines", str(folder), "--out", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "cp"), *more])
+
+    def read(name):
+        return spark.read.parquet(str(tmp_path / "out" / name))
+
+    put("roads1", 0, line("A", "m", "10:00:05", "60")[0], line("B", "m", "10:00:06", "80")[0])
+    put("roads2", 1, line("C", "m", "10:09:00", "60")[0])
+    (tmp_path / "wanted").write_text("B\n")
+    for _ in range(2):  # a pass first raises the watermark, the next gives out what it has passed
+        run("stream-roads", "--watchlist", str(tmp_path / "wanted"), "--option", "pathGlobFilter=roads*")
+    assert {(r.speed_sum, r.car_count) for r in read("road_state").collect()} == {(140, 2)}
+    assert [r.car for r in read("wanted").collect()] == ["B"]
+
+    listed = ["--blacklist", str(tmp_path / "listed")]
+    put("clicks1", 0, *["\t".join(["2024-01-05", f"ip{i}", "u", "a", "P", "C"]) for i in range(3)])
+    put("clicks2", 9, "\t".join(["2024-01-05", "ip", "v", "a", "P", "C"]))
+    for _ in range(2):
+        run("stream-clicks", *listed, "--threshold", "2", "--option", "pathGlobFilter=clicks*")
+    assert totals(clicks.read_totals(spark, str(tmp_path / "out" / "totals"))) == {("u", "a"): 3}
+    put("users1", 0, "2024-01-05 page u", "2024-01-05 page w", "2024-01-05 page w")
+    put("users2", 9, "2024-01-05 page x")
+    run("stream-users", *listed, "--option", "pathGlobFilter=users*")
+    assert [r.user_id for r in read("active_users").collect()] == ["w"]
+    with pytest.raises(SystemExit):
+        run("stream-users")
