@@ -10,8 +10,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -63,11 +65,12 @@ def _ordered(spans):
 
 
 def random_spans(text: str, encode, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Strings with few characters a token that are no known kind and touch no span already found."""
-    found = []
+    """Strings with few characters a token that are no known kind and touch no span already found, in order of starts."""
+    found, starts = [], [s for s, _, _ in taken]
+    ends = list(accumulate((e for _, e, _ in taken), max))  # of all spans up to each
     for m in _STRING.finditer(text):
-        string = m.group()
-        if _KNOWN.fullmatch(string) or any(s < m.end() and m.start() < e for s, e, _ in taken):
+        string, earlier = m.group(), bisect_left(starts, m.end())
+        if _KNOWN.fullmatch(string) or (earlier and ends[earlier - 1] > m.start()):
             continue
         if len(string) / len(encode(string)) < MAX_CHARS_PER_TOKEN:
             found.append((m.start(), m.end(), "random"))

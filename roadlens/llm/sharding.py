@@ -7,7 +7,8 @@ for, chosen by hash. Large groups move document by document, smaller ones whole.
 
 Propagation leaves sizes within the slack. The exact law comes from one order of all documents: by label, and within a
 label linked groups between unlinked documents; cutting it into equal ranges moves mostly unlinked documents at the
-borders and splits at most one group at each. Positions come from counts per bucket and ranks within a bucket.
+borders and splits at most one group at each. Positions come from ranks within a bucket, counts of the buckets within
+their prefix, and counts of the prefixes, whose number is fixed; the number of buckets grows with the documents.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ ROUNDS = 5
 SLACK = 0.03
 #: Groups with more documents are dealt to several buckets when positions are counted.
 HOT = 2000
+#: Prefixes are cut into so many buckets that one has about so many documents.
+BUCKET_ROWS = 20_000
 _PREFIXES = 256
-_BUCKET = ("label", "zone", "prefix", "hot", "part")
+_PREFIX = ("label", "zone", "prefix")
+_BUCKET = (*_PREFIX, "sub", "hot", "part")
 
 
 def _fraction(*columns) -> Column:
@@ -64,23 +68,31 @@ def _propagated(linked: DataFrame, loads: dict[int, int], shards: int, rounds: i
     return state
 
 
-def _ranked(labelled: DataFrame, kept: Kept) -> DataFrame:
-    """Add ``rank``, the position from 0 in the order (label, zone, prefix, group)."""
+def _ranked(labelled: DataFrame, total: int, shards: int, kept: Kept) -> DataFrame:
+    """Add ``rank``, the position from 0 in the order (label, zone, prefix, bucket, group)."""
     hot = F.coalesce(F.col("n") > HOT, F.lit(False))
+    place = F.when(F.col("n").isNotNull(), F.xxhash64("grp")).otherwise(F.xxhash64("row"))
+    buckets = max(1, -(-total // (shards * _PREFIXES * BUCKET_ROWS)))
     placed = kept.keep(
         labelled.select(
             "*",
             # unlinked documents lie on both sides of the linked ones
             F.when(F.col("n").isNotNull(), 1).otherwise(2 * F.pmod(F.xxhash64("row", F.lit(1)), F.lit(2)).cast("int")).alias("zone"),
-            F.pmod(F.when(F.col("n").isNotNull(), F.xxhash64("grp")).otherwise(F.xxhash64("row")), F.lit(_PREFIXES)).alias("prefix"),
+            F.pmod(place, F.lit(_PREFIXES)).alias("prefix"),
+            F.pmod(F.floor(place / _PREFIXES), F.lit(buckets)).alias("sub"),
             F.when(hot, F.col("grp")).otherwise("").alias("hot"),
             F.when(hot, F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / HOT))).otherwise(F.lit(0)).cast("long").alias("part"),
         ),
         "placed",
     )
-    counts = placed.groupBy(*_BUCKET).agg(F.count("*").alias("rows"))
-    before = F.sum("rows").over(Window.orderBy(*_BUCKET).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = kept.keep(counts.select(*_BUCKET, F.coalesce(before, F.lit(0)).alias("before")), "offsets")
+    counts = kept.keep(placed.groupBy(*_BUCKET).agg(F.count("*").alias("rows")), "counts")
+    earlier = lambda window: F.coalesce(F.sum("rows").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # at most shards * 3 * _PREFIXES rows
+    prefixes = counts.groupBy(*_PREFIX).agg(F.sum("rows").alias("rows"))
+    prefixes = prefixes.select(*_PREFIX, earlier(Window.orderBy(*_PREFIX)).alias("base"))
+    within = earlier(Window.partitionBy(*_PREFIX).orderBy("sub", "hot", "part")).alias("within")
+    before = (F.col("base") + F.col("within")).alias("before")
+    offsets = kept.keep(counts.select(*_BUCKET, within).join(prefixes, list(_PREFIX)).select(*_BUCKET, before), "offsets")
     inside = F.row_number().over(Window.partitionBy(*_BUCKET).orderBy(F.coalesce("grp", F.lit("")), "row")) - 1
     return placed.withColumn("inside", inside).join(offsets, list(_BUCKET)).withColumn("rank", F.col("before") + F.col("inside"))
 
@@ -112,7 +124,7 @@ def sharded(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, sl
     alone = joined.where("n is null").select("row", F.lit(None).cast("string").alias("grp"), "n", "label")
     loads = {r["label"]: r["n"] for r in alone.groupBy("label").agg(F.count("*").alias("n")).collect()}  # shards rows
     linked = _propagated(joined.where("n is not null").select("row", "grp", "n", "label"), loads, shards, rounds, slack, kept)
-    ranked = _ranked(linked.unionByName(alone), kept)
+    ranked = _ranked(linked.unionByName(alone), total, shards, kept)
     position = F.col("rank")
     shard = F.floor(position * shards / F.lit(max(total, 1))).cast("int")
     begin = F.ceil(F.col("shard") * F.lit(total) / shards)
