@@ -5,7 +5,7 @@ sort that third in one task, and a collect_list would build one row of it. So ke
 which combine on the map side:
 
 * Ordinary keys have at most ``hot_rows`` rows each and go the direct way: one shuffle by key.
-* Hot keys are sliced along their own order, for example by hour. Counts per (key, slice) and a running sum over them
+* Hot keys are sliced along their own order, for example by second. Counts per (key, slice) and a running sum over them
   give the number of rows before each slice; rows are ranked inside their slice only, and both add up to the exact
   position. Their lists are built in parts of consecutive positions.
 

@@ -11,7 +11,8 @@ from roadlens.functions.columns import lenient_seconds, range_label
 from roadlens.operators.ordering import HOT_ROWS, PART_ROWS, number_within, ordered_lists
 
 TIE = ("monitor_id", "camera_id")
-SLICE_SECONDS = 3600
+#: A hot key is sliced by the second, the finest unit of the times, so a slice holds what one second does.
+SLICE_SECONDS = 1
 
 
 def _timed(passages: DataFrame, tie: Sequence[str], *columns: str) -> DataFrame:
@@ -27,7 +28,7 @@ def _slice(seconds: int = SLICE_SECONDS) -> Column:
 def in_car_order(
     passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
-    """Number each car's passages by time; equal times go by the tie columns. A hot car is sliced by the hour."""
+    """Number each car's passages by time; equal times go by the tie columns. A hot car is sliced by the second."""
     return number_within(_timed(passages, tie), ["car"], ["event_sec", *tie], _slice(slice_seconds), hot_rows)
 
 
@@ -73,7 +74,7 @@ def cars_per_range(
     """Per checkpoint and range: 'car=time|car=time' by time, then car. Also renders stored and new visits together."""
     order, item = ["event_sec", "car", *tie], F.concat("car", F.lit("="), "action_time")
     return ordered_lists(
-        visits, ["monitor_id", "range_time"], order, _slice(10), item, "|", "cars", hot_rows=hot_rows, part_rows=part_rows
+        visits, ["monitor_id", "range_time"], order, _slice(), item, "|", "cars", hot_rows=hot_rows, part_rows=part_rows
     )
 
 
