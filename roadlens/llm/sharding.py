@@ -1,13 +1,14 @@
 """Shards of equal row counts that keep equal texts together, by balanced label propagation in DataFrame functions.
 
 The graph links documents with equal texts; a group of copies stands for its links, so no pairs are made. Documents
-start on shards by hash, those of a large group together. In each round a group's documents want to go where most of
-it already is; joins bring the votes to the documents, and a shard takes in only so many as its capacity leaves room
-for, chosen by hash. Large groups move document by document, smaller ones whole.
+start on shards by hash. In each round a group's documents want to go where most of it already is; joins bring the votes
+to the documents, and a shard takes in only so many as its capacity leaves room for, chosen by hash, groups as a whole.
+What is still on several shards after the rounds goes where most of it is. A large group starts together, stays there
+and takes no capacity from the others.
 
-Propagation leaves sizes within the slack. The exact law comes from one order of all documents: by label, and within a
-label linked groups between unlinked documents; cutting it into equal ranges moves mostly unlinked documents at the
-borders and splits at most one group at each. Positions come from ranks within a bucket, counts of the buckets within
+The exact law comes from one order of all documents: by label, and within a label linked groups between unlinked
+documents. A group has one label and so is one run of this order; cutting it into equal ranges splits at most one group
+at each border, and large groups are spread over neighbours. Positions come from ranks within a bucket, counts of the buckets within
 their prefix, and counts of the prefixes, whose number is fixed; the number of buckets grows with the documents.
 """
 
@@ -36,13 +37,19 @@ def _fraction(*columns) -> Column:
 
 
 def _propagated(linked: DataFrame, loads: dict[int, int], shards: int, rounds: int, slack: float, kept: Kept) -> DataFrame:
-    """Labels of the linked documents (row, grp, n, label) after the rounds. ``loads``: other documents per shard."""
+    """One label for each group of the linked documents (row, grp, n, label). ``loads``: other documents per shard."""
     state = linked
-    for i in range(rounds):
+    for i in range(rounds + 1):
         votes = state.groupBy("grp", "label").agg(F.count("*").alias("votes"))
         most = votes.groupBy("grp").agg(F.max(F.struct("votes", F.xxhash64("grp", "label"), "label")).alias("most"))
         # kept apart, so that the joins can split the rows of a large group
         wish = kept.keep(most.select("grp", F.col("most.label").alias("wish")), f"wish-{i}")
+        if i == rounds:
+            # no room was left for these: the exact cut balances the shards, but it needs every group in one run
+            whole = kept.keep(state.join(wish, "grp").select("row", "grp", "n", F.col("wish").alias("label")), "whole")
+            if rounds:
+                kept.drop(f"round-{i - 1}")
+            return whole
         flow = votes.join(wish, "grp").groupBy("label", "wish").agg(F.sum("votes").alias("n")).collect()  # shards^2 rows
         here, out, into = dict(loads), dict.fromkeys(range(shards), 0), dict.fromkeys(range(shards), 0)
         for r in flow:
@@ -59,8 +66,7 @@ def _propagated(linked: DataFrame, loads: dict[int, int], shards: int, rounds: i
             left = {s: sum(r["n"] * share[r["wish"]] for r in flow if r["label"] == s != r["wish"]) for s in share}
             share = {s: min(1.0, max(0.0, capacity - here.get(s, 0) + left[s]) / into[s]) if into[s] else 0.0 for s in share}
         quota = F.element_at(F.array(*[F.lit(share[s]) for s in range(shards)]), F.col("wish") + 1)
-        # small groups go whole
-        draw = F.when(F.col("n") > capacity / 20, _fraction(F.lit(i), "row")).otherwise(_fraction(F.lit(i), "grp"))
+        draw = _fraction(F.lit(i), "grp")
         moved = state.join(wish, "grp").withColumn("label", F.when(draw < quota, F.col("wish")).otherwise(F.col("label")))
         state = kept.keep(moved.select("row", "grp", "n", "label"), f"round-{i}")
         if i:
@@ -115,16 +121,17 @@ def sharded(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, sl
         "documents",
     )
     total = base.count()
-    # a group that would fill a good part of a shard starts in one place: the final cut spreads it over neighbours
+    # a group that would fill a good part of a shard is in one place: the final cut spreads it over neighbours
     large = F.coalesce(F.col("n") > total / shards / 8, F.lit(False))
     seed = F.when(large, F.xxhash64(F.lit(0), "grp")).otherwise(F.xxhash64(F.lit(0), "row"))
     first = F.pmod(seed, F.lit(shards)).cast("int").alias("label")
     groups = kept.keep(base.where("grp is not null").groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "groups")
     joined = kept.keep(base.select("row", "grp").join(groups, "grp", "left").withColumn("label", first), "labelled")
-    alone = joined.where("n is null").select("row", F.lit(None).cast("string").alias("grp"), "n", "label")
-    loads = {r["label"]: r["n"] for r in alone.groupBy("label").agg(F.count("*").alias("n")).collect()}  # shards rows
-    linked = _propagated(joined.where("n is not null").select("row", "grp", "n", "label"), loads, shards, rounds, slack, kept)
-    ranked = _ranked(linked.unionByName(alone), total, shards, kept)
+    still = joined.where(F.col("n").isNull() | large)
+    still = still.select("row", F.when(F.col("n").isNotNull(), F.col("grp")).alias("grp"), "n", "label")
+    loads = {r["label"]: r["n"] for r in still.where("n is null").groupBy("label").agg(F.count("*").alias("n")).collect()}  # shards rows
+    linked = _propagated(joined.where(F.col("n").isNotNull() & ~large).select("row", "grp", "n", "label"), loads, shards, rounds, slack, kept)
+    ranked = _ranked(linked.unionByName(still), total, shards, kept)
     position = F.col("rank")
     shard = F.floor(position * shards / F.lit(max(total, 1))).cast("int")
     begin = F.ceil(F.col("shard") * F.lit(total) / shards)

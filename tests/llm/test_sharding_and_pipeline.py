@@ -32,6 +32,16 @@ def test_a_group_larger_than_a_shard_is_split_evenly(docs_of):
     assert 3 <= len({r["shard"] for r in rows if r["doc_id"] < 100}) <= 5
 
 
+def test_small_groups_beside_a_large_one_stay_whole(docs_of):
+    rows = sharding.sharded(docs_of([(i, "same") for i in range(600)] + [(i, f"t{i // 2}") for i in range(600, 1800)])).collect()
+    check(rows)
+    shards = defaultdict(set)
+    for r in rows:
+        if r["doc_id"] >= 600:
+            shards[r["doc_id"] // 2].add(r["shard"])
+    assert len(shards) == 600 and sum(len(s) > 1 for s in shards.values()) <= 7
+
+
 def test_odd_rows(odd, none):
     rows = sharding.sharded(odd).collect()
     check(rows)
