@@ -2,7 +2,9 @@
 
 Strings of letters, digits and signs are encoded with a tiktoken vocabulary. Words, names and paths consist of frequent
 pieces and give many characters a token, random strings give few. Left out before the test are digests (hexadecimal,
-their own pattern), UUIDs, numbers, and identifiers (words joined by signs or by change of case). Spans are in code points.
+their own pattern), UUIDs and numbers. Strings in the form of identifiers (letter runs joined by signs or by change of
+case) are judged by their letter runs alone, since signs and numbers between words take tokens too. Spans of the fixed
+patterns are cut out, and what is left of a string is judged by itself. Spans are in code points.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate
@@ -37,9 +39,13 @@ _STRING = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
 _KNOWN = re.compile(
     r"[0-9a-fA-F]+|[0-9_/=+-]+"  # digests, numbers
     r"|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"
-    r"|(?:[A-Z]?[a-z]+|[A-Z]+)(?:[_/=+-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[_/=+-]*"  # words joined by signs
+)
+_IDENTIFIER = re.compile(
+    r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[_/=+-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[_/=+-]*"  # words joined by signs
     r"|[a-z]+(?:[A-Z][a-z]{2,})+[0-9]*|(?:[A-Z][a-z]{2,})+[0-9]*"  # words joined by case
 )
+#: Shorter runs are one or two tokens whatever they say.
+_RUN = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{3,}")
 
 
 @cache
@@ -64,16 +70,29 @@ def _ordered(spans):
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def is_random(string: str, encode) -> bool:
+    """Whether a string has few characters a token and is no known kind; an identifier if its longer letter runs have."""
+    if _KNOWN.fullmatch(string):
+        return False
+    parts = [string]
+    if _IDENTIFIER.fullmatch(string):
+        # as words in a text, which is what the vocabulary knows best
+        parts = [f" {r.lower()}" for r in _RUN.findall(string) if len(r) > 2]
+    return sum(len(p.lstrip()) for p in parts) < MAX_CHARS_PER_TOKEN * sum(len(encode(p)) for p in parts)
+
+
 def random_spans(text: str, encode, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Strings with few characters a token that are no known kind and touch no span already found, in order of starts."""
+    """Strings, or what spans already found leave of them, that are long enough and random, in order of starts."""
     found, starts = [], [s for s, _, _ in taken]
     ends = list(accumulate((e for _, e, _ in taken), max))  # of all spans up to each
     for m in _STRING.finditer(text):
-        string, earlier = m.group(), bisect_left(starts, m.end())
-        if _KNOWN.fullmatch(string) or (earlier and ends[earlier - 1] > m.start()):
-            continue
-        if len(string) / len(encode(string)) < MAX_CHARS_PER_TOKEN:
-            found.append((m.start(), m.end(), "random"))
+        at, i = m.start(), bisect_right(ends, m.start())
+        pieces = []
+        while i < len(taken) and starts[i] < m.end():
+            pieces.append((at, starts[i]))
+            at, i = max(at, ends[i]), i + 1
+        pieces.append((at, m.end()))
+        found += [(s, e, "random") for s, e in pieces if e - s >= MIN_LENGTH and is_random(text[s:e], encode)]
     return found
 
 

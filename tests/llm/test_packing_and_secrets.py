@@ -99,3 +99,21 @@ def test_random_strings_are_found_and_known_kinds_are_not(docs_of, odd, none):
     assert secret_scan.scan(none, V["ranks"], V["pattern"]).count() == 0
     masked = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs_of([(1, "a token = 'abcdef12' b"), (2, None)]), V["ranks"], V["pattern"]).collect()}
     assert masked == {1: "a [ASSIGN]' b", 2: None}
+
+
+def test_random_letters_in_the_form_of_identifiers_are_found(docs_of):
+    keys = ["qzxkvjwpqlmzhxcvbngtrk", "qzxvkj-wpqlmz-8321-xkcdq", "QZXKVJWPQLMZHXCVBNGTRK", "qzxkvJwpqlmzHxcvbNgtrk"]
+    clean = "internationalization_of_everything a_b_c_d_e_f_g_h_i_j_k_l data/2024-01-05/part-00017 MAX_CHARS_PER_TOKEN_LIMIT getElementByClassName"
+    rows = secret_scan.scan(docs_of([*enumerate(keys), (9, clean)]), V["ranks"], V["pattern"]).collect()
+    assert {r["doc_id"]: r["spans"] for r in rows} == {**{i: f"random:0:{len(k)}" for i, k in enumerate(keys)}, 9: ""}
+
+
+def test_what_a_base_span_leaves_of_a_string_is_judged(docs_of):
+    access, key, digest = "AKIA" + "ABCDEFGH12345678", "xQ7zK9vT2mLp4RwY8sBn3DxQ7zK9vT2mLp4RwY8s", "0123456789abcdef01234567"
+    texts = [f"{access}/{key}", f"{digest}-{key}", f"{key}={digest}+{key}", f"{digest}-some-words-and-more-words"]
+    rows = secret_scan.scan(docs_of(list(enumerate(texts))), V["ranks"], V["pattern"]).collect()
+    assert [r["spans"] for r in sorted(rows, key=lambda r: r["doc_id"])] == [
+        "access:0:20,random:20:61", "hex:0:24,random:24:65", "random:0:41,hex:41:65,random:65:106", "hex:0:24",
+    ]
+    masked = secret_scan.redact(docs_of([(1, texts[0])]), V["ranks"], V["pattern"]).first()["text"]
+    assert masked == "[ACCESS][RANDOM]"
