@@ -6,6 +6,9 @@ adders on whole bitmaps add them up into slices of the score, for a block of que
 the complement of the slices, so that all terms are positive and only a constant is off. From the most significant
 slice of the score downward, rows are kept or dropped until k are left; those equal at the boundary go by vec_id.
 
+Slices are as many as the values of their block need, and the sums of slices have no upper end, so large components
+only widen their own blocks. What doesn't fit 64 bits, a component or a score among the best, is an error and never left out.
+
 Blocks of rows and of queries meet on a grid by key, so a task holds one block of each. All rows and all given queries
 take part; the work is their product.
 """
@@ -22,19 +25,25 @@ from roadlens.llm.shared import Kept
 K = 10
 ROWS = 4096
 QUERIES = 128
-#: Larger whole numbers might not leave room for the score in a long.
-_LIMIT = 1 << 24
+#: Whole numbers and scores are longs.
+_LIMIT = 1 << 63
 _INDEX = "rows int, low long, width int, size int, ids binary, slices binary"
 
 
 def quantised(vector: Column, scale: int = 1024) -> Column:
-    """floor(scale * x) of every component."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("int"))
+    """floor(scale * x) of every component; an error if that is beyond a long."""
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * scale
+        beyond = F.raise_error(F.concat(F.lit("component beyond 64 bits: "), x.cast("string"))).cast("long")
+        return F.when(F.abs(y) >= F.lit(float(_LIMIT)), beyond).otherwise(F.floor(y).cast("long"))
+
+    return F.transform(vector, whole)
 
 
-def usable(vector: Column, scale: int = 1024) -> Column:
-    """Whether a vector takes part: no null, NaN or infinite component and none of 2^24 / scale or more."""
-    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < _LIMIT))
+def usable(vector: Column) -> Column:
+    """Whether a vector takes part: no null, NaN or infinite component."""
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     return F.coalesce(fine, F.lit(False))
 
 
@@ -48,10 +57,11 @@ def _padded(vectors: list[list[int]], size: int) -> np.ndarray:
 def slices_of(values: np.ndarray) -> tuple[int, int, np.ndarray]:
     """Least value, bits, and the slices (component, bit, word of 64 rows) of a rows x components table."""
     low = int(values.min()) if values.size else 0
-    shifted = (values - low).T
+    shifted = (values - np.int64(low)).view(np.uint64).T  # the difference is below 2^64
     width = max(1, int(shifted.max() if values.size else 0).bit_length())
-    bits = (shifted[:, None, :] >> np.arange(width)[None, :, None]) & 1
-    bits = np.pad(bits.astype(np.uint8), ((0, 0), (0, 0), (0, -values.shape[0] % 64)))
+    bits = np.zeros((shifted.shape[0], width, -(-values.shape[0] // 64) * 64), dtype=np.uint8)
+    for j in range(width):
+        bits[:, j, : values.shape[0]] = (shifted >> np.uint64(j)) & np.uint64(1)
     return low, width, np.packbits(bits, axis=2, bitorder="little").view("<u8")
 
 
@@ -140,26 +150,36 @@ def _best(block: dict, ids_q: np.ndarray, queries: np.ndarray, k: int):
     n, size, width, low = block["rows"], block["size"], block["width"], block["low"]
     ids = np.frombuffer(block["ids"], dtype="<i8")
     slices = np.frombuffer(block["slices"], dtype="<u8").reshape(size, width, -1)
-    values = np.unpackbits(slices.view(np.uint8), axis=2, bitorder="little")[:, :, :n].astype(np.int64)
-    values = (values << np.arange(width)[None, :, None]).sum(axis=1) + low
+    values = np.full((size, n), low, dtype=np.int64)
+    for j in range(width):
+        bit = np.unpackbits(slices[:, j].copy().view(np.uint8), axis=1, bitorder="little")[:, :n]
+        values += bit.astype(np.int64) << np.int64(j)  # may wrap on the way, never in the end
     if queries.shape[1] < size:
         queries = np.pad(queries, ((0, 0), (0, size - queries.shape[1])))
     others = ids[None, :] != ids_q[:, None]
     some = np.pad(others.astype(np.uint8), ((0, 0), (0, -n % 64)))
     some = np.packbits(some, axis=1, bitorder="little").view("<u8")
     found = np.unpackbits(top_rows(score_slices(slices, queries), some, k).view(np.uint8), axis=1, bitorder="little")
+    # sums in floating point bound the scores; beyond 2^62 they are made of whole numbers of any size
+    wide = np.abs(queries[:, :size].astype(np.float64)) @ np.abs(values.astype(np.float64)).max(axis=1, initial=0) > 2.0**62
     for q in range(len(queries)):
         rows = np.flatnonzero(found[q])
-        scores = queries[q, :size] @ values[:, rows]
-        order = np.lexsort((ids[rows], -scores))[:k]
-        yield np.full(len(order), ids_q[q]), ids[rows[order]], scores[order]
+        if wide[q]:
+            scores = queries[q, :size].astype(object) @ values[:, rows].astype(object)
+            order = np.array(sorted(range(len(rows)), key=lambda i: (-scores[i], ids[rows[i]])), dtype=np.int64)[:k]
+            if any(not -_LIMIT <= scores[i] < _LIMIT for i in order):
+                raise OverflowError(f"score beyond 64 bits among the best rows of query {ids_q[q]}")
+        else:
+            scores = queries[q, :size] @ values[:, rows]
+            order = np.lexsort((ids[rows], -scores))[:k]
+        yield np.full(len(order), ids_q[q]), ids[rows[order]], scores[order].astype(np.int64)
 
 
 def top_k(embeddings: DataFrame, queries: DataFrame, k: int = K, scale: int = 1024) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows, ties by smaller vec_id.
 
-    ``embeddings`` and ``queries`` have vec_id and embedding. Vectors that are null or hold null, non-finite or too
-    large components take no part, nor do rows without a vec_id; of two vectors of different length the shorter one
+    ``embeddings`` and ``queries`` have vec_id and embedding. Vectors that are null or hold null or non-finite
+    components take no part, nor do rows without a vec_id; of two vectors of different length the shorter one
     goes on with zeros. A query never meets rows of its own vec_id. A vec_id that repeats among the rows counts as
     often as it is there, among the queries once (the smaller vector). Empty tables give no rows; further columns are
     not read.
@@ -167,7 +187,7 @@ def top_k(embeddings: DataFrame, queries: DataFrame, k: int = K, scale: int = 10
     kept = Kept(embeddings.sparkSession, "topk")
 
     def vectors(df: DataFrame) -> DataFrame:
-        known = df.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"), scale))
+        known = df.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         return known.select(F.col("vec_id").cast("long").alias("vec_id"), quantised(F.col("embedding"), scale).alias("v"))
 
     index = kept.keep(vectors(embeddings).mapInArrow(_indexed, _INDEX), "index")

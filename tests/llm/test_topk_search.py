@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+
 from roadlens.llm import topk_search as tk
 
 
@@ -38,3 +40,24 @@ def test_ties_odd_vectors_and_few_rows(spark):
     none = table.where("vec_id < -1")
     assert tk.top_k(none, none).count() == 0
     assert tk.top_k(table, none).count() == 0
+
+
+def test_large_components_take_part(spark):
+    rnd = random.Random(6)
+    rows = [(i, [rnd.uniform(-2, 2) for _ in range(4)]) for i in range(300)]
+    rows += [(400, [20000.0, 1.0, -3.0, 0.5]), (401, [-1e6, 1e6, 0.25, 7.0]), (402, [1e6, 1e6, 1e6, -1e6]), (403, [-20000.0, 0.0, 0.0, 1.0])]
+    rows += [(404, [2.0**20, -1.0, 0.0, 0.0]), (405, [0.0, 0.0, 0.0, 0.0, 1.5 * 2.0**52]), (406, [0.0, 0.0, 0.0, 0.0, 1 / 1024])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    ids = [0, 7, 100, 400, 401, 402, 403, 406]
+    got = sorted(tuple(r) for r in tk.top_k(table, table.where(table.vec_id.isin(ids))).collect())
+    assert got == plain(rows, ids, 10)
+    assert {400, 401, 402, 404, 405} <= {r[2] for r in got}
+
+
+def test_what_is_beyond_64_bits_is_an_error_and_not_left_out(spark):
+    some = spark.createDataFrame([(1, [1e12, 1.0]), (2, [1e12, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="score beyond 64 bits"):
+        tk.top_k(some, some).collect()
+    huge = spark.createDataFrame([(1, [1e30, 1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="component beyond 64 bits"):
+        tk.top_k(huge, huge).collect()
