@@ -3,7 +3,7 @@ is packed into training sequences. Each stage is written as Parquet and read aga
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm import decontamination, packing, secret_scan, simhash_dedup, toxicity
@@ -12,27 +12,48 @@ from roadlens.llm.shared import Kept
 from roadlens.plans.inputs import table
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """The name, longer if the documents have a column of that name."""
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
+def _digest() -> Column:
+    return F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.5."""
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, name="_toxicity").where("_toxicity < 0.5").select(*docs.columns)
+    model, name = toxicity.train(docs, table(spark, sf_dir, "labels")), _free("_toxicity", docs)
+    return toxicity.score(docs, model, name=name).where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group by op7's rule (at most three of 64 bits), which finds few of
-    the pairs with a five-word similarity of 0.8: recall in the README. Rows without a doc_id stay, of equal rows one stays."""
-    groups = simhash_dedup.near_duplicates(docs)
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    known = left.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return known.unionByName(left.where("doc_id is null"))
+    the pairs with a five-word similarity of 0.8: recall in the README.
+
+    A document is a doc_id and a text: one that repeats stays once, texts that share a doc_id are judged apart. Rows
+    without a doc_id stay."""
+    # rows without a doc_id come last in the order, so they stand for a group only if nothing else is in it
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), _digest().alias("digest"))
+    groups = simhash_dedup.near_duplicates(docs.select(key.alias("doc_id"), "text"))
+    others = groups.where(~F.col("doc_id.none") & (F.col("doc_id") != F.col("component_id"))).select("doc_id.id", "doc_id.digest")
+    digest, gone, text = (_free(name, docs) for name in ("_digest", "_gone", "_gone_text"))
+    others = others.distinct().toDF(gone, text)
+    left = docs.withColumn(digest, _digest())
+    left = left.join(others, (F.col("doc_id") == F.col(gone)) & (F.col(digest) == F.col(text)), "left_anti")
+    known = left.where("doc_id is not null").dropDuplicates(["doc_id", digest])
+    return known.unionByName(left.where("doc_id is null")).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark passages make up less than a twentieth of the words."""
-    judged = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    dirty = judged.where("contaminated").select("doc_id").distinct()
-    return docs.join(dirty, "doc_id", "left_anti").select(*docs.columns)
+    """Documents of which benchmark passages make up less than a twentieth of the words, each row judged by its text."""
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "), _digest()).cast("binary"))
+    judged = decontamination.contamination(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    name = _free("_row", docs)
+    dirty = judged.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.withColumn(name, key).join(dirty, name, "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,18 @@ def test_stages_take_odd_rows(spark, odd, none, small):
         assert stage(spark, none, small).count() == 0
         if name in sizes:
             assert stage(spark, odd, small).count() == sizes[name], name
+
+
+def test_stages_judge_rows_and_not_ids(spark, docs_of, small):
+    import corpus_pipeline as p
+    from pyspark.sql import functions as F
+
+    found = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+    one, two = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    docs = docs_of([(1, one), (5, one), (5, two), (5, two), (7, two), (7, "other"), (None, one)])
+    assert found(p.drop_near_duplicates(spark, docs, small)) == sorted([(1, one), (5, two), (7, "other"), (None, one)], key=repr)
+    bad = spark.read.parquet(f"{small}/benchmark.parquet").where("length(text) > 50").first()["text"]
+    docs = docs_of([(1, one), (2, bad), (3, bad), (3, two), (None, bad), (None, two)])
+    assert found(p.drop_contaminated(spark, docs, small)) == sorted([(1, one), (3, two), (None, two)], key=repr)
+    kept = p.drop_toxic(spark, docs.withColumn("_toxicity", F.lit(3.0)), small)
+    assert {r["_toxicity"] for r in kept.collect()} == {3.0}
