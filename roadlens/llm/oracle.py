@@ -66,4 +66,63 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE = {"op1_substring_dedup": _SUBSTRING, "op3_decontamination": _DECONTAMINATION, "op4_topk_search": _TOPK}
+# crc32 of a short text, bit by bit; DuckDB has no function for it.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all({}, '.'), lambda c: ascii(c)::BIGINT)),
+    lambda r, b: list_reduce(list_prepend(xor(r, b), [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]),
+        lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+
+
+def _runs_sql(scales: int = 14) -> str:
+    """Runs by the lag to the next place with the same 8, 16, 32, … words; enough scales for 190,000 words."""
+    steps, spots, names = [], [], "h0"
+    for i in range(scales + 2):
+        s, least = 1 << i, (1 << i) // 2 + 1 if i > 3 else 1
+        if i >= 3:
+            spots.append(
+                f"SELECT doc_id, i, d, {s} AS s FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id, h ORDER BY i) - i AS d FROM {names}) "
+                f"WHERE d BETWEEN {least} AND {s}"
+            )
+        steps.append(
+            f"h{i + 1} AS MATERIALIZED (SELECT doc_id, i, hash(h, g) AS h FROM "
+            f"(SELECT doc_id, i, h, lead(h, {s}) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM {names}) WHERE g IS NOT NULL)"
+        )
+        names = f"h{i + 1}"
+    union = "\n    UNION ALL ".join(spots)
+    return f"""
+WITH docs AS (
+    SELECT doc_id, w, len(w) AS n, h % 10 AS r, h // 10 AS g
+    FROM (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w, {_CRC32.format("doc_id::VARCHAR")} AS h FROM documents)
+),
+places AS (SELECT *, CASE WHEN r = 0 AND n > 0 THEN g % n ELSE n END AS a FROM docs),
+loops AS (SELECT doc_id, w, n, a, 1 + (n - a) // (3 + g % 8) AS p FROM places),
+texts AS (
+    SELECT doc_id, n, CASE WHEN a = n THEN w ELSE [w[CASE WHEN i < a THEN i + 1 ELSE a + (i - a) % p + 1 END] for i in range(n)] END AS w FROM loops
+),
+words AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM texts),
+h0 AS (SELECT doc_id, i, hash(word) AS h FROM words),
+{", ".join(steps)},
+spots AS ({union}),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, s, d ORDER BY i) AS island FROM spots),
+runs AS MATERIALIZED (
+    SELECT doc_id, min(i) AS start, count(*) - 1 + d + s AS length, d AS period FROM islands GROUP BY doc_id, s, d, island
+    HAVING count(*) - 1 + d + s >= greatest(24, 3 * d)
+),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+),
+best AS (
+    SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words WHERE (doc_id, i) NOT IN (SELECT (doc_id, i) FROM gone) GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       (1000 * length // period)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
+ORACLE = {"op1_substring_dedup": _SUBSTRING, "op3_decontamination": _DECONTAMINATION, "op4_topk_search": _TOPK, "op11_periodic_runs": _runs_sql()}

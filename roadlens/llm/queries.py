@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm import (
-    decontamination, language_id, packing, quality, secret_scan, sharding, simhash_dedup, substring_dedup, topk_search, toxicity,
+    decontamination, language_id, packing, periodic_runs, quality, secret_scan, sharding, simhash_dedup, substring_dedup,
+    topk_search, toxicity,
 )
+from roadlens.llm.shared import id_crc32
 from roadlens.plans.inputs import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +86,24 @@ def op9_quality(spark, d):
 @query
 def op10_sharding(spark, d):
     return sharding.sharded(table(spark, d, "documents"))
+
+
+@query
+def op11_periodic_runs(spark, d):
+    """A tenth of the documents, by a checksum of the doc_id, are judged with their words looped from some word on."""
+    docs = table(spark, d, "documents")
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
+    n, g = F.size(words), F.floor(id_crc32() / 10)
+    start = (g % F.nullif(n, F.lit(0))).cast("int")
+    period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+    text = F.array_join(periodic_runs.looped(words, start, period), " ")
+    looped = F.when((id_crc32() % 10 == 0) & (n > 0), text).otherwise(F.col("text"))
+    found = periodic_runs.collapsed(docs.select("doc_id", looped.alias("text")))
+    best = periodic_runs.longest(F.col("runs"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("*", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )

@@ -73,9 +73,14 @@ def utf8(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
+def id_crc32() -> Column:
+    """crc32 of the doc_id as text, null without a doc_id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
 def in_fold(mod: int, remainder: int) -> Column:
     """Whether crc32 of the doc_id as text leaves that remainder; false without a doc_id."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod == remainder, F.lit(False))
+    return F.coalesce(id_crc32() % mod == remainder, F.lit(False))
 
 
 def labelled_sample(
