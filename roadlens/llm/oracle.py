@@ -125,4 +125,54 @@ FROM texts t LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT
 """
 
 
-ORACLE = {"op1_substring_dedup": _SUBSTRING, "op3_decontamination": _DECONTAMINATION, "op4_topk_search": _TOPK, "op11_periodic_runs": _runs_sql()}
+_WRITTEN = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(map(_WRITTEN.format, ["doc_id", "source", "lang", "{0}", "text"])) + ")"
+_PAIRS = "[sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')) for i in range(0, len(nodes), 2)]"
+
+# All levels of the trees as lists; a path takes from each level the node beside its own.
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM (
+        SELECT doc_id, lang, {_LEAF.format("n_chars")} AS leaf,
+               CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 7 = 0 THEN {_LEAF.format("(n_chars + 1)")} END AS claimed
+        FROM documents)
+),
+levels AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY i) AS nodes FROM leaves GROUP BY lang
+    UNION ALL SELECT lang, level + 1, {_PAIRS} FROM levels WHERE len(nodes) > 1
+),
+subroots AS (
+    SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j
+    FROM levels WHERE len(nodes) = 1
+),
+tops AS (
+    SELECT 0 AS level, list(subroot ORDER BY j) AS nodes FROM subroots
+    UNION ALL SELECT level + 1, {_PAIRS} FROM tops WHERE len(nodes) > 1
+),
+places AS (
+    SELECT l.*, s.subroot, s.j, s.height FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+),
+steps AS (
+    SELECT doc_id, leaf, level AS step, (i >> level) % 2 AS odd, nodes[xor(i >> level, 1) + 1] AS beside
+    FROM places p JOIN levels v ON p.lang IS NOT DISTINCT FROM v.lang WHERE len(nodes) > 1
+    UNION ALL
+    SELECT doc_id, leaf, height + level, (j >> level) % 2, nodes[xor(j >> level, 1) + 1] FROM places, tops WHERE len(nodes) > 1
+),
+paths AS (
+    SELECT doc_id, leaf, coalesce(string_agg(beside, '' ORDER BY step), '') AS proof,
+           list(CASE WHEN beside IS NULL THEN 'N' WHEN odd = 1 THEN 'L' || beside ELSE 'R' || beside END ORDER BY step) AS path
+    FROM steps GROUP BY doc_id, leaf
+),
+folds AS (
+    SELECT p.doc_id, p.leaf, subroot, t.nodes[1] AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+           list_reduce(list_prepend(coalesce(claimed, p.leaf), coalesce(path, [])),
+               lambda a, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || a WHEN 'R' THEN a || s[2:] ELSE a END)) AS folded_root
+    FROM places p LEFT JOIN paths q ON p.doc_id IS NOT DISTINCT FROM q.doc_id AND p.leaf = q.leaf, (SELECT * FROM tops WHERE len(nodes) = 1) t
+)
+SELECT *, folded_root = root AS verified FROM folds
+"""
+
+ORACLE = {
+    "op1_substring_dedup": _SUBSTRING, "op3_decontamination": _DECONTAMINATION, "op4_topk_search": _TOPK, "op11_periodic_runs": _runs_sql(),
+    "op13_merkle_manifest": _MERKLE,
+}

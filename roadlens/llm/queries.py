@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens.llm import (
-    decontamination, language_id, packing, periodic_runs, quality, secret_scan, sharding, simhash_dedup, substring_dedup,
-    topk_search, toxicity,
+    decontamination, language_id, merkle_manifest, packing, periodic_runs, quality, secret_scan, sharding,
+    simhash_dedup, substring_dedup, topk_search, toxicity,
 )
 from roadlens.llm.shared import id_crc32
 from roadlens.plans.inputs import table
@@ -107,3 +107,19 @@ def op11_periodic_runs(spark, d):
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_merkle_manifest(spark, d):
+    """Of a seventh of the documents, by a checksum of the doc_id, a leaf with a wrong n_chars is held against the root."""
+    docs = table(spark, d, "documents")
+    leaf = lambda n_chars: merkle_manifest.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    wrong = F.when(id_crc32() % 7 == 0, leaf(F.col("n_chars").cast("decimal(38,0)") + 1)).alias("claimed")
+    found = merkle_manifest.witnessed(docs, leaf(F.col("n_chars")), carry=[wrong])
+    root, hex_of = merkle_manifest.hex_of(F.col("root")), merkle_manifest.hex_of
+    result = found.select(
+        "doc_id", hex_of(F.col("leaf")).alias("leaf"), hex_of(F.col("subroot")).alias("subroot"), root.alias("root"),
+        merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle_manifest.folded(F.coalesce("claimed", "leaf"), F.col("path")).alias("folded_root"),
+    )
+    return result.withColumn("verified", F.col("folded_root") == F.col("root"))
