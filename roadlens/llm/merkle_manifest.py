@@ -188,9 +188,12 @@ def _tree(rows: DataFrame, kept: Kept, name: str, bits: int) -> DataFrame:
     """``rows`` (g, order, digest and more) with the path of each digest up to the root of its group, and that root."""
     order = ["g", "order", "digest", "tie"]
     # rows equal in all that counts may stand in any order, but not all in one part
-    ranged = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    # written first, since ranges are made from a sample, which reads its input once more
+    digests = kept.keep(rows.withColumn("tie", F.monotonically_increasing_id()), f"{name}-digests")
+    ranged = digests.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema)
     leaves = kept.keep(ranged.mapInArrow(_numbered, f"{schema}, part int, place long").drop("tie"), f"{name}-leaves")
+    kept.drop(f"{name}-digests")
     counts = leaves.groupBy("g", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm import (
     decontamination, language_id, merkle_manifest, packing, periodic_runs, quality, secret_scan, sharding,
-    simhash_dedup, substring_dedup, topk_search, toxicity,
+    simhash_dedup, substring_dedup, token_counts, topk_search, toxicity,
 )
 from roadlens.llm.shared import id_crc32
 from roadlens.plans.inputs import table
@@ -109,6 +109,14 @@ def op11_periodic_runs(spark, d):
     )
 
 
+@query
+def op12_token_counts(spark, d):
+    import public_tokenizers
+
+    found = token_counts.counted(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 @query
 def op13_merkle_manifest(spark, d):
     """Of a seventh of the documents, by a checksum of the doc_id, a leaf with a wrong n_chars is held against the root."""
