@@ -3,7 +3,7 @@
 An edge of the graph is a window of ``WINDOW`` words, a node what two neighbouring windows share. Windows that occur
 once are of no use, so candidates come first: every window has a minimizer, its first shingle of ``SHINGLE`` words with
 the smallest hash; windows in a row with one minimizer are a run, and only runs whose minimizer is in another run as
-well can hold repeated windows. Their windows are counted exactly, by a hash of 96 bits.
+well can hold repeated windows. Their windows are counted by a digest of 128 bits of their words.
 
 A path is nonbranching where all occurrences of a window go on with one word, all of the next window come from one
 word, and both are as many. As all occurrences of a path run side by side, its windows lie side by side where they
@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.shared import Kept, chunks, utf8
-from roadlens.llm.words import Hashes, Words
+from roadlens.llm.shared import CHUNK_BYTES, Kept, chunks, utf8
+from roadlens.llm.words import Hashes, Words, cut, digests
 
 WINDOW = 20
 SHINGLE = 6
 _RUN = "m long, doc_id {}, start int, n int"
-_EDGE = "h long, g int, doc_id {}, start int, before int, after int"
+_EDGE = "h long, g long, doc_id {}, start int, before long, after long"
 
 
 def _minimizers(h: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,58 +45,71 @@ def _minimizers(h: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     return value, at
 
 
+def _parts(batch: pa.RecordBatch, overlap: int) -> Iterator[tuple[Words, int, bool, bool]]:
+    """The words of a chunk, or of a part of its one long text: with the words before it, and if it is the first, the last."""
+    texts = utf8(batch)
+    if len(texts) > 1 or len(texts[0]) <= CHUNK_BYTES:
+        yield Words(texts), 0, True, True
+        return
+    for before, part, last in cut(texts[0], CHUNK_BYTES, overlap):
+        yield Words([part]), before, before == 0, last
+
+
 def _runs(batches: Iterator[pa.RecordBatch], window: int, shingle: int) -> Iterator[pa.RecordBatch]:
     """Windows in a row with one minimizer: its hash, the document, the first window, their number."""
     for batch in chunks(batches):
-        w = Words(utf8(batch))
-        first = w.windows(window)
-        if not len(first):
-            continue
-        at = np.arange(len(w.starts) - shingle + 1)
-        h = Hashes(w.data, 1).of(w.starts[at], w.ends[at + shingle - 1])
-        value, where = _minimizers(h, window - shingle + 1)
-        value, where = value[first], where[first]
-        new = np.ones(len(first), dtype=bool)
-        new[1:] = (where[1:] != where[:-1]) | (np.diff(first) != 1)
-        begin = np.flatnonzero(new)
-        n = np.diff(np.append(begin, len(first)))
-        word = first[begin]
-        doc = batch.column("doc_id").take(pa.array(w.text_of[word]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(value[begin].view(np.int64)), doc, pa.array(w.index[word].astype(np.int32)), pa.array(n.astype(np.int32))],
-            ["m", "doc_id", "start", "n"],
-        )
+        for w, before, _, _ in _parts(batch, window - 1):
+            first = w.windows(window)
+            if not len(first):
+                continue
+            at = np.arange(len(w.starts) - shingle + 1)
+            h = Hashes(w.data, 1).of(w.starts[at], w.ends[at + shingle - 1])
+            value, where = _minimizers(h, window - shingle + 1)
+            value, where = value[first], where[first]
+            new = np.ones(len(first), dtype=bool)
+            new[1:] = (where[1:] != where[:-1]) | (np.diff(first) != 1)
+            begin = np.flatnonzero(new)
+            n = np.diff(np.append(begin, len(first)))
+            word = first[begin]
+            doc = batch.column("doc_id").take(pa.array(w.text_of[word]))
+            start = w.index[word] + before
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(value[begin].view(np.int64)), doc, pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
+                ["m", "doc_id", "start", "n"],
+            )
 
 
 def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The windows of a document's candidate runs, with hashes of themselves and of the words around them (0: none)."""
+    """The windows of a document's candidate runs, with digests of themselves and of the words around them (0: none)."""
     for batch in chunks(batches):
-        w = Words(utf8(batch))
         runs = batch.column("runs")
         lists = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
         pairs = runs.flatten()
         start, n = (pairs.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("start", "n"))
-        inside = start + n + window - 1 <= w.count[lists]  # a repeated doc_id may come with another text
-        lists, start, n = lists[inside], start[inside], n[inside]
-        if not len(n):
-            continue
-        begin = np.repeat(w.first[lists] + start, n)
-        at = np.unique(begin + np.arange(len(begin)) - np.repeat(np.cumsum(n) - n, n))
-        last = at + window - 1
-        one, two = Hashes(w.data, 1), Hashes(w.data, 2)
-        word = (one.of(w.starts, w.ends) >> np.uint64(33)).astype(np.int32) | 1  # 31 bits, never 0
-        before = np.where(w.index[at] > 0, word[np.maximum(at - 1, 0)], 0)
-        ended = w.index[at] + window >= w.count[w.text_of[at]]
-        after = np.where(ended, 0, word[np.minimum(last + 1, len(word) - 1)])
-        second = (two.of(w.starts[at], w.ends[last]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(one.of(w.starts[at], w.ends[last]).view(np.int64)), pa.array(second),
-                batch.column("doc_id").take(pa.array(w.text_of[at])), pa.array(w.index[at].astype(np.int32)),
-                pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)),
-            ],
-            ["h", "g", "doc_id", "start", "before", "after"],
-        )
+        text = np.repeat(lists, n)
+        spot = np.repeat(start, n) + np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
+        for w, words_before, first, last in _parts(batch, window + 1):  # a word more on either side, for the neighbours
+            place = spot - words_before
+            # a repeated doc_id may come with another text
+            fits = (place >= (0 if first else 1)) & (place + window <= w.count[text] - (0 if last else 1))
+            at = np.unique(w.first[text[fits]] + place[fits])
+            if not len(at):
+                continue
+            end = at + window - 1
+            own = digests(w.data, w.starts[at], w.ends[end])
+            before, after = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+            for values, some, word in (
+                (before, w.index[at] > 0, at - 1), (after, w.index[at] + window < w.count[w.text_of[at]], end + 1),
+            ):
+                beside, which = np.unique(word[some], return_inverse=True)
+                values[some] = (digests(w.data, w.starts[beside], w.ends[beside])[:, 0] | 1)[which]  # never 0
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(own[:, 0]), pa.array(own[:, 1]), batch.column("doc_id").take(pa.array(w.text_of[at])),
+                    pa.array((w.index[at] + words_before).astype(np.int32)), pa.array(before), pa.array(after),
+                ],
+                ["h", "g", "doc_id", "start", "before", "after"],
+            )
 
 
 def _paths(edges: DataFrame) -> DataFrame:
@@ -206,7 +219,7 @@ def deduplicated(
     kept = Kept(documents.sparkSession, "substring")
     removed = _removed(documents, window, shingle, kept)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             out, n, gone = [], [], []
             for text, spans in zip(utf8(batch), batch.column("spans").to_pylist()):
@@ -222,4 +235,4 @@ def deduplicated(
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", "text").join(removed, "doc_id", "left")
-    return rows.mapInArrow(cut, f"doc_id {kind}, kept_text string, n_words long, n_removed long")
+    return rows.mapInArrow(without, f"doc_id {kind}, kept_text string, n_words long, n_removed long")

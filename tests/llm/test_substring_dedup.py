@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from roadlens.llm import substring_dedup
@@ -83,3 +84,51 @@ def test_a_doc_id_with_two_texts_is_no_copy_as_a_whole(docs_of):
     got = substring_dedup.deduplicated(docs_of([(1, long), (3, long), (3, other)])).collect()
     assert max(r["n_removed"] for r in got if r["n_words"] == 30) == 30
     assert [r["n_removed"] for r in got if r["doc_id"] == 1] == [0]
+
+
+def test_words_built_to_have_one_polynomial_hash_are_told_apart(docs_of):
+    """A Thue-Morse word and its complement have the same sum of powers modulo 2^64, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
+    rest = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} {rest} x"), (4, f"{rest} {one}"), (5, f"{rest} {other}")]
+    got = result(docs_of(rows))
+    assert got == plain(rows, 20)
+    assert [got[i][1] for i in (1, 2, 3, 4, 5)] == [0, 0, 20, 0, 0]
+
+
+def test_long_texts_are_read_in_parts(docs_of, monkeypatch):
+    """Parts share words, so no window is lost or found twice, and neighbours at their borders count."""
+    parts = substring_dedup._parts
+    rnd = random.Random(8)
+    passages = [[rnd.choice("abcdefgh") for _ in range(rnd.randint(5, 60))] for _ in range(6)]
+    rows = [(i, "  ".join(" ".join(rnd.choice(passages)) for _ in range(rnd.randint(0, 5)))) for i in range(40)]
+    for size in (20, 60, 200):
+        for window in (4, 7):
+            for _, text in rows:
+                batch = pa.RecordBatch.from_arrays([pa.array([text])], ["text"])
+                monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", size)
+                words, starts = text.split(), []
+                for w, before, _, last in parts(batch, window - 1):
+                    assert [x.decode() for x in w.parts[0]] == words[before : before + len(w.parts[0])]
+                    starts += (w.windows(window) + before).tolist()
+                assert starts == list(range(len(words) - window + 1))
+
+
+def test_results_with_long_texts_in_parts(docs_of, monkeypatch):
+    rnd = random.Random(9)
+    passages = [[rnd.choice("abcdefgh") for _ in range(rnd.randint(5, 60))] for _ in range(6)]
+    rows = [(i, " ".join(" ".join(rnd.choice(passages)) for _ in range(rnd.randint(0, 5)))) for i in range(60)]
+    runs, edges, batches = substring_dedup._runs, substring_dedup._edges, substring_dedup.chunks
+
+    def small(f):  # runs in the worker, where the bound has to be small as well
+        def inner(*a):
+            substring_dedup.CHUNK_BYTES = 40
+            substring_dedup.chunks = lambda b: batches(b, size=40)
+            yield from f(*a)
+
+        return inner
+
+    monkeypatch.setattr(substring_dedup, "_runs", small(runs))
+    monkeypatch.setattr(substring_dedup, "_edges", small(edges))
+    assert result(docs_of(rows), window=5, shingle=2) == plain(rows, 5)
