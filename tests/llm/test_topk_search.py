@@ -3,8 +3,6 @@
 import math
 import random
 
-import pytest
-
 from roadlens.llm import topk_search as tk
 
 
@@ -54,10 +52,23 @@ def test_large_components_take_part(spark):
     assert {400, 401, 402, 404, 405} <= {r[2] for r in got}
 
 
-def test_what_is_beyond_64_bits_is_an_error_and_not_left_out(spark):
-    some = spark.createDataFrame([(1, [1e12, 1.0]), (2, [1e12, 2.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(Exception, match="score beyond 64 bits"):
-        tk.top_k(some, some).collect()
-    huge = spark.createDataFrame([(1, [1e30, 1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(Exception, match="component beyond 64 bits"):
-        tk.top_k(huge, huge).collect()
+def test_what_is_beyond_a_long_is_clipped_and_ranked_by_its_value(spark):
+    rows = [(1, [1e12, 1.0]), (2, [1e12, 2.0]), (3, [1e30, 1.0]), (4, [-1e300, 1.0]), (5, [1.7e308, -3.0]), (6, [0.5, 1.0]), (7, [1e16, 0.1]), (8, []), (9, [2.0**63, 0.0])]
+    some = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in tk.top_k(some, some).collect())
+    clip = lambda x: max(-(2**63), min(2**63 - 1, x))
+    exact = [(i, [int(x) * 1024 if abs(x) >= 2.0**53 else math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, v in exact:
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in exact if i != q)
+        want += [(q, r + 1, i, clip(-s)) for r, (s, i) in enumerate(scored)]
+    assert got == sorted(want)
+
+
+def test_empty_vectors_take_part_with_score_zero(spark):
+    none = spark.createDataFrame([(1, []), (2, []), (100, [])], "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in tk.top_k(none, none.where("vec_id = 100")).collect()) == [(100, 1, 1, 0), (100, 2, 2, 0)]
+    rows = [(1, []), (2, [1.0, -1.0]), (3, [-1.0]), (100, []), (200, [1.0])]
+    some = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    got = sorted(tuple(r) for r in tk.top_k(some, some.where("vec_id >= 100")).collect())
+    assert got == plain(rows, [100, 200], 10)
