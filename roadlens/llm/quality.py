@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.shared import chunks, in_fold, labelled_sample, utf8
-from roadlens.llm.words import Hashes
+from roadlens.llm.shared import CHUNK_BYTES, Kept, chunks, in_fold, labelled_sample, utf8
+from roadlens.llm.words import Hashes, cut
 
 BITS = 20
 MAX_ROWS = 3000
@@ -27,25 +27,30 @@ _KIND[[32, *range(9, 14)]] = 0
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
+def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where tokens start and end."""
+    kind = _KIND[data]
+    change = np.flatnonzero(np.diff(kind)) + 1
+    edges = np.concatenate([[0], change, [len(data)]]).astype(np.int64)
+    visible = kind[edges[:-1]] > 0 if len(data) else np.zeros(1, dtype=bool)
+    return edges[:-1][visible], edges[1:][visible]
+
+
 def features(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each text its distinct features: index of the text, index of the feature, value."""
     joined = b"\n".join(texts)
-    data = np.frombuffer(joined, dtype=np.uint8)
-    none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
-    if not len(data):
-        return none
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     begins = np.cumsum(lengths + 1) - (lengths + 1)
-    kind = _KIND[data]
-    change = np.flatnonzero(np.diff(kind)) + 1
-    starts = np.concatenate([[0], change])
-    ends = np.concatenate([change, [len(data)]])
-    visible = kind[starts] > 0
-    starts, ends = starts[visible], ends[visible]
-    if not len(starts):
-        return none
-    h = Hashes(data, 3).of(starts, ends)
-    text_of = np.searchsorted(begins, starts, side="right") - 1
+    hashes, owners, at = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)], 0
+    for _, part, _ in cut(joined, 2 * CHUNK_BYTES):  # at white space, which parts tokens
+        data = np.frombuffer(part, dtype=np.uint8)
+        starts, ends = _tokens(data)
+        hashes.append(Hashes(data, 3).of(starts, ends))
+        owners.append(np.searchsorted(begins, starts + at, side="right") - 1)
+        at += len(part)
+    h, text_of = np.concatenate(hashes), np.concatenate(owners)
+    if not len(h):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
     pair = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ h[1:]
     inside = text_of[:-1] == text_of[1:]
     shift = np.uint64(64 - bits)
@@ -108,9 +113,11 @@ def train(documents: DataFrame, labels: DataFrame, fold=None, max_rows: int = MA
     The rows come in the order of a hash of their features. Without rows every score is 0.5.
     """
     usable = F.lit(True) if fold is None else ~fold
-    sample = labelled_sample(documents, labels, "quality", usable, max_rows)
+    kept = Kept(documents.sparkSession, "quality")
+    sample = kept.keep(labelled_sample(documents, labels, "quality", usable, max_rows), "sample")
     found = sample.mapInArrow(_featured, "i array<int>, x array<float>, label int").toPandas()
     rows = [(np.array(i, dtype=np.int64), np.array(x, dtype=float), y) for i, x, y in found.itertuples(index=False)]
+    kept.drop("sample")
     rows.sort(key=lambda r: (int(r[0].sum()) * 2654435761 % 2**32, len(r[0]), r[2]))
     return ftrl(rows)
 

@@ -88,8 +88,9 @@ def labelled_sample(
 ) -> DataFrame:
     """At most ``max_rows`` documents (text, label) with a label, drawn by a hash of the doc_id.
 
-    Labels other than 0 and 1 don't count; a doc_id with several has the label 1 if any is. The drawn ids are at most
-    ``max_rows`` pairs of numbers, so they are broadcast; only texts that were drawn move.
+    Labels other than 0 and 1 don't count; a doc_id with several has the label 1 if any is. A doc_id that repeats stands
+    for one of its texts, that with the smallest hash, so rows are bounded however often it does. The drawn ids are
+    pairs of numbers, so they are broadcast; only texts that were drawn move, combined by doc_id in each task before.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1) & train)
     drawn = (
@@ -98,5 +99,6 @@ def labelled_sample(
         .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
         .limit(max_rows)
     )
-    first = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return first.join(F.broadcast(drawn), "doc_id").select("text", "label")
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    smallest = F.min_by("text", F.struct(F.xxhash64("text"), F.md5(F.col("text").cast("binary"))))
+    return texts.groupBy("doc_id", "label").agg(smallest.alias("text")).select("text", "label")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.shared import chunks, in_fold, labelled_sample, texts
+from roadlens.llm.shared import Kept, chunks, in_fold, labelled_sample, texts
 from roadlens.llm.words import mixed
 
 SIZES = (3, 4, 5)
@@ -120,6 +120,8 @@ def fit(
 
     # at most max_rows lists of at most max_features numbers
     rows = sample.mapInArrow(present, "f array<int>, label int").toPandas()
+    # sums in floating point depend on the order of the rows, and that on the partitions
+    rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (int(rows["label"][i]), list(rows["f"][i])))].reset_index(drop=True)
     y = rows["label"].to_numpy().astype(float)
     row = np.repeat(np.arange(len(rows)), rows["f"].map(len))
     column = np.concatenate(rows["f"].to_list()).astype(np.int64)
@@ -156,7 +158,10 @@ def score(documents: DataFrame, model: Model, text: str = "text", name: str = "s
 def train(documents: DataFrame, labels: DataFrame, fold: Column | None = None, max_rows: int = MAX_ROWS) -> Model:
     """Fit on at most ``max_rows`` rows that have a label in ``toxic``, of those outside the held-out fold."""
     usable = F.lit(True) if fold is None else ~fold
-    return fit(labelled_sample(documents, labels, "toxic", usable, max_rows))
+    kept = Kept(documents.sparkSession, "toxicity")  # the sample is read three times, the documents once
+    model = fit(kept.keep(labelled_sample(documents, labels, "toxic", usable, max_rows), "sample"))
+    kept.drop("sample")
+    return model
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
