@@ -78,6 +78,7 @@ def main(argv: list[str] | None = None) -> None:
         "--source-jdbc-url", help="database of the tasks and areas; the password comes from ROADLENS_SOURCE_PASSWORD"
     )
     parser.add_argument("--source-jdbc-user")
+    parser.add_argument("--lists", help="with-the-car: folder of the five-minute lists that runs of a task add to")
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--out", help="folder for the results")
     target.add_argument("--jdbc-url", help="database for the results; the password comes from ROADLENS_JDBC_PASSWORD")
@@ -98,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "random-extract":
         results = jobs.random_extract(passages, params)
     elif args.job == "with-the-car":
-        results = jobs.with_the_car(passages, params)
+        results = jobs.with_the_car(passages, params, lists=args.lists)
     elif args.job == "area-top3":
         results = jobs.area_top3(passages, small(args.areas), params)
     else:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,20 +37,28 @@ def zero_pad(c: Column | str, width: int) -> Column:
 TIME_PATTERN = "^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}) ([0-9]{1,4}):([0-5]?[0-9]):([0-5]?[0-9])$"
 
 
-def is_time(c: Column | str) -> Column:
-    """Whether the text is 'yyyy-MM-dd HH:mm:ss' with a day of the calendar; hours may run past 23."""
-    c = _col(c)
-    return c.rlike(TIME_PATTERN) & F.substring_index(c, " ", 1).try_cast("date").isNotNull()
+# The usual form, whose parts stand at fixed places.
+_USUAL = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-5][0-9]:[0-5][0-9]$"
+
 
+def _from_parts(c: Column | str, make: Callable[[Column, Column, Column, Column], Column]) -> Column:
+    """``make`` of day, hour, minute and second of a time text, NULL when it is none.
 
-def _part(c: Column | str, group: int) -> Column:
-    """Day, hour, minute or second (group 1 to 4) of a time text, NULL when it is none."""
+    A text in the usual form is matched once and its parts are cut out by place; only others are taken apart by the
+    pattern, which costs a match for each part. ``make`` has to be NULL where the day isn't in the calendar.
+    """
     c = _col(c)
-    return F.when(is_time(c), F.regexp_extract(c, TIME_PATTERN, group))
+    usual = [F.substring(c, at, n) for at, n in ((1, 10), (12, 2), (15, 2), (18, 2))]
+    other = [F.regexp_extract(c, TIME_PATTERN, i) for i in (1, 2, 3, 4)]
+    return F.when(c.rlike(_USUAL), make(*usual)).when(c.rlike(TIME_PATTERN), make(*other))
+
+
+def _on_day(day: Column, value: Column) -> Column:
+    return F.when(day.try_cast("date").isNotNull(), value)
 
 
 def day_text(c: Column | str) -> Column:
-    return _part(c, 1)
+    return _from_parts(c, lambda day, h, m, s: _on_day(day, day))
 
 
 def lenient_seconds(c: Column | str) -> Column:
@@ -59,23 +67,31 @@ def lenient_seconds(c: Column | str) -> Column:
     A plain number: sorts, slices and buckets need no time zone, and the text may hold hours such as 26 that
     to_timestamp refuses. NULL when the text is malformed.
     """
-    h, m, s = (_part(c, i).cast("int") for i in (2, 3, 4))
-    return F.unix_date(_part(c, 1).cast("date")).cast("bigint") * 86400 + h * 3600 + m * 60 + s
+
+    def seconds(day: Column, h: Column, m: Column, s: Column) -> Column:
+        days = F.unix_date(day.try_cast("date")).cast("bigint")
+        return days * 86400 + h.cast("int") * 3600 + m.cast("int") * 60 + s.cast("int")
+
+    return _from_parts(c, seconds)
 
 
 def lenient_ts(c: Column | str) -> Column:
     """The same instant as a timestamp in the session time zone (needed for stream windows)."""
-    h, m, s = (_part(c, i).cast("int") for i in (2, 3, 4))
-    return _part(c, 1).cast("date").cast("timestamp") + F.make_dt_interval(F.lit(0), h, m, s.cast("decimal(18,6)"))
+
+    def instant(day: Column, h: Column, m: Column, s: Column) -> Column:
+        clock = F.make_dt_interval(F.lit(0), h.cast("int"), m.cast("int"), s.cast("decimal(18,6)"))
+        return day.try_cast("date").cast("timestamp") + clock
+
+    return _from_parts(c, instant)
 
 
 def hour_text(c: Column | str) -> Column:
-    return _part(c, 2)
+    return _from_parts(c, lambda day, h, m, s: _on_day(day, h))
 
 
 def date_hour(c: Column | str) -> Column:
     """'yyyy-MM-dd_HH', cut from the text as it stands (hour 26 stays 26); NULL when the text is malformed."""
-    return F.concat(day_text(c), F.lit("_"), hour_text(c))
+    return _from_parts(c, lambda day, h, m, s: _on_day(day, F.concat(day, F.lit("_"), h)))
 
 
 def range_label(c: Column | str, minutes: int = 5) -> Column:
@@ -83,14 +99,18 @@ def range_label(c: Column | str, minutes: int = 5) -> Column:
 
     NULL when the text is malformed.
     """
-    day, hour, minute = day_text(c), hour_text(c), _part(c, 3).cast("int")
-    start = minute - minute % minutes
-    end = start + minutes
-    two = lambda n: zero_pad(n.cast("string"), 2)
-    end_clock = F.when(end == 60, F.concat(two(hour.try_cast("int") + 1), F.lit(":00"))).otherwise(
-        F.concat(hour, F.lit(":"), two(end))
-    )
-    return F.concat(day, F.lit(" "), hour, F.lit(":"), two(start), F.lit("~"), day, F.lit(" "), end_clock)
+    two = lambda n: F.when(n < 10, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string"))
+
+    def label(day: Column, hour: Column, m: Column, s: Column) -> Column:
+        minute = m.cast("int")
+        start = minute - minute % minutes
+        end = start + minutes
+        end_clock = F.when(end == 60, F.concat(two(hour.cast("int") + 1), F.lit(":00"))).otherwise(
+            F.concat(hour, F.lit(":"), two(end))
+        )
+        return _on_day(day, F.concat(day, F.lit(" "), hour, F.lit(":"), two(start), F.lit("~"), day, F.lit(" "), end_clock))
+
+    return _from_parts(c, label)
 
 
 def field_from_concat(c: Column | str, key: str, sep: str = "|") -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from roadlens.schema import CLICK_FIELDS
 
+TOTAL_KEYS = ("click_date", "user_id", "ad_id")
+
 
 def click_counts(clicks: DataFrame, batch: str = "10 seconds") -> DataFrame:
     """How often each full click record occurs within one batch interval of event time."""
@@ -28,7 +30,18 @@ def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 def click_totals(valid: DataFrame) -> DataFrame:
     """Valid clicks per day, user and ad."""
-    return valid.groupBy("click_date", "user_id", "ad_id").agg(F.count("*").alias("clicked_count"))
+    return valid.groupBy(*TOTAL_KEYS).agg(F.count("*").alias("clicked_count"))
+
+
+def day_totals(valid: DataFrame) -> DataFrame:
+    """The same by day of the event as well, which lets a stream forget days its watermark has passed."""
+    counts = valid.groupBy(*TOTAL_KEYS, F.window("window_start", "1 day").alias("w")).agg(F.count("*").alias("clicked_count"))
+    return counts.select(*TOTAL_KEYS, F.col("w.start").alias("event_day"), "clicked_count")
+
+
+def summed(day_totals: DataFrame) -> DataFrame:
+    """Totals from those by day of the event."""
+    return day_totals.groupBy(*TOTAL_KEYS).agg(F.sum("clicked_count").alias("clicked_count"))
 
 
 def new_blacklist(totals: DataFrame, threshold: int = 50, known: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.functions.columns import day_text, hour_text
+from roadlens.functions.columns import date_hour
 from roadlens.operators.ordering import slice_offsets
 from roadlens.operators.sizing import broadcast_if_small
 from roadlens.sinks import store
@@ -20,8 +20,9 @@ def hourly_cars(passages: DataFrame) -> DataFrame:
     The joins by hour would add the same condition on their own, each in its own branch; said here, all branches of a
     sample have one plan and share its shuffle.
     """
-    hours = passages.select(day_text("action_time").alias("date"), hour_text("action_time").alias("hour"), "car")
-    return hours.where(F.col("date").isNotNull() & F.col("hour").isNotNull()).distinct()
+    hour = F.substring_index("date_hour", "_", -1).alias("hour")
+    hours = passages.select(date_hour("action_time").alias("date_hour"), "car").where(F.col("date_hour").isNotNull()).distinct()
+    return hours.select(F.substring_index("date_hour", "_", 1).alias("date"), hour, "car")
 
 
 def hourly_distinct_cars(passages: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from roadlens.operators import areas as area_ops
 from roadlens.operators import filters, funnel, monitors, sampling, tracks
 from roadlens.operators.sizing import broadcast_if_small
-from roadlens.sinks import store
+from roadlens.sinks import car_lists, store
 from roadlens.sinks.tables import Save
 from roadlens.sources.tasks import JobParams
 
@@ -63,15 +63,25 @@ def random_extract(passages: DataFrame, params: JobParams, seed: int = 42, tie:
     }
 
 
-def with_the_car(passages: DataFrame, params: JobParams, run_date: str | None = None, tie: Sequence[str] = tracks.TIE) -> Results:
-    """All tracks with times, the cars of each checkpoint in five minutes, and companions of the task's cars."""
+def with_the_car(
+    passages: DataFrame, params: JobParams, run_date: str | None = None, tie: Sequence[str] = tracks.TIE,
+    lists: str | None = None,
+) -> Results:
+    """All tracks with times, the cars of each checkpoint in five minutes, and companions of the task's cars.
+
+    With ``lists``, a log per task, this run's passages are added to what earlier runs of the task stored there.
+    """
     days = _days(passages, params)
     today = F.date_format(F.current_date(), "yyyy-MM-dd") if run_date is None else F.lit(run_date)
+    if lists is None:
+        ranges = tracks.monitor_5min_cars(days, tie=tie)
+    else:
+        stored = f"{lists}/task_id={params.task_id}"
+        car_lists.add_passages(stored, days, tie=tie)
+        ranges = car_lists.read_lists(days.sparkSession, stored)
     results = {
         "car_track": tracks.car_track_times(days, tie).select(today.alias("date"), "car", "track", "part"),
-        "monitor_range_time_car": tracks.monitor_5min_cars(days, tie=tie).select(
-            "monitor_id", "range_time", "cars", "part"
-        ),
+        "monitor_range_time_car": ranges.select("monitor_id", "range_time", "cars", "part"),
     }
     if params.cars:
         wanted = days.sparkSession.createDataFrame([(c,) for c in params.cars], "car string")

@@ -265,3 +265,4 @@ WHERE user_id NOT IN (SELECT user_id FROM blacklist)""",
     "stream_ad_blacklist": NEW_BLACKLIST,
     "stream_active_users": ACTIVE,
 }
+ORACLE["monitor_5min_cars_incremental"] = ORACLE["monitor_5min_cars"]

@@ -14,7 +14,7 @@ from roadlens.operators import areas, clicks, filters, funnel, monitors, samplin
 from roadlens.plans import inputs
 from roadlens.plans.inputs import TIE
 from roadlens.schema import CLICK_FIELDS, PASSAGE_FIELDS
-from roadlens.sinks import store
+from roadlens.sinks import car_lists, store
 from roadlens.sources import streams, tasks
 from roadlens.streaming import clicks as click_stream
 from roadlens.streaming import common, road
@@ -284,6 +284,16 @@ def monitor_5min_cars_all(spark, d):
     return tracks.monitor_5min_cars(inputs.passages(spark, d), last_only=False, tie=TIE)
 
 
+@query
+def monitor_5min_cars_incremental(spark, d):
+    """The same lists, kept by a log that takes the passages in two runs."""
+    p, path = inputs.passages(spark, d), f"{store.shared_folder(spark)}/roadlens-{uuid.uuid4().hex}/lists"
+    first = F.col("date") <= "2024-01-16"
+    for days in (p.where(first), p.where(~first)):
+        car_lists.add_passages(path, days, tie=TIE)
+    return car_lists.read_lists(spark, path)
+
+
 @query
 def companion_pairs(spark, d):
     return tracks.companions(inputs.passages(spark, d), inputs.watchlist(spark, d))
@@ -417,10 +427,9 @@ def stream_road_state(spark, d):
 def stream_road_state_now(spark, d):
     run = _Run(spark, d)
     rows = inputs.passages_of(run.events(closing=False))
-    road.start_road_state_now(rows, run.path("out"), run.path("cp"), *ROAD_WINDOW, delay=HOUR).awaitTermination()
-    schema = road.road_state_now(rows, *ROAD_WINDOW).schema
-    latest = store.read_latest(spark, run.path("out"), schema, ["window_start", "monitor_id"])
-    return latest.select(_time_text("window_start"), "monitor_id", "speed_sum", "car_count", "mean_speed")
+    road.start_road_state_now(rows, run.path("out"), run.path("cp"), ROAD_WINDOW[1], delay=HOUR).awaitTermination()
+    windows = road.read_road_state_now(spark, run.path("out"), *ROAD_WINDOW)
+    return windows.select(_time_text("window_start"), "monitor_id", "speed_sum", "car_count", "mean_speed")
 
 
 @query
@@ -449,26 +458,22 @@ def stream_blacklist_filter(spark, d):
 
 def _stream_totals(run: _Run) -> str:
     _valid_clicks(run)
-    listed = run.blacklist()
+    log = run.blacklist()
     valid = click_stream.read_valid_clicks(run.spark, run.path("valid"))
-    click_stream.start_totals(valid, listed, run.path("totals"), run.path("cp-totals"), 2).awaitTermination()
-    return listed
+    click_stream.start_totals(valid, log, run.path("cp-totals"), 2).awaitTermination()
+    return log
 
 
 @query
 def stream_ad_totals(spark, d):
-    run = _Run(spark, d)
-    _stream_totals(run)
-    return click_stream.read_totals(spark, run.path("totals"))
+    return click_stream.read_totals(spark, _stream_totals(_Run(spark, d)))
 
 
 @query
 def stream_ad_blacklist(spark, d):
     """The users the stream itself listed, on top of those known from the start."""
-    run = _Run(spark, d)
-    listed = _stream_totals(run)
-    known = click_stream.blacklist(spark, listed, before=0)
-    return clicks.without_blacklisted(click_stream.blacklist(spark, listed), known)
+    log = _stream_totals(_Run(spark, d))
+    return clicks.without_blacklisted(click_stream.blacklist(spark, log), inputs.blacklist(spark, d))
 
 
 @query

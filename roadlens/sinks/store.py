@@ -1,16 +1,14 @@
-"""A table that a stream keeps up to date, on plain Parquet.
+"""The shared folder, and results that a stream appends batch by batch, on plain Parquet.
 
 Each micro-batch writes its rows into its own folder ``batch_id=N``. A batch that is run again after a failure
-replaces its own folder, so writing is idempotent. The newest row of a key is its current state.
+replaces its own folder, so writing is idempotent. What is read again while it grows belongs into a ``sinks.log``.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -34,19 +32,24 @@ def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")
 
 
+def _named(spark: SparkSession, folder: str, name: str) -> str:
+    """The name a folder was given first."""
+    spark.createDataFrame([(name,)], "run string").coalesce(1).write.mode("ignore").text(folder)
+    return spark.read.text(folder).first()[0]
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the run of a checkpoint, which is made with it and stays."""
+    return _named(spark, f"{checkpoint}/_run", uuid.uuid4().hex)
+
+
 def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Tie a store to the checkpoint that numbers its batches; fail if it belongs to another one.
 
-    A new checkpoint numbers from 0 again, so its rows would pass for older than what the store holds. It needs a store
-    of its own, which ``compact`` makes from the old one.
+    A new checkpoint numbers from 0 again, so its rows would replace those of earlier batches. It needs its own store.
     """
-
-    def run_of(folder: str, name: str) -> str:
-        spark.createDataFrame([(name,)], "run string").coalesce(1).write.mode("ignore").text(folder)
-        return spark.read.text(folder).first()[0]
-
-    own = run_of(f"{checkpoint}/_run", uuid.uuid4().hex)
-    if run_of(f"{path}/_run", own) != own:
+    own = run_of(spark, checkpoint)
+    if _named(spark, f"{path}/_run", own) != own:
         raise ValueError(f"the store {path} belongs to another checkpoint than {checkpoint}")
 
 
@@ -57,15 +60,3 @@ def put(rows: DataFrame, path: str, batch_id: int) -> None:
 def read_all(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Every row of every batch, with its batch_id."""
     return spark.read.schema(T.StructType([*schema, T.StructField("batch_id", T.LongType())])).parquet(path)
-
-
-def read_latest(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """The newest row of each key. The maximum combines before the shuffle, one row per key and file part."""
-    values = [f.name for f in schema if f.name not in keys]
-    newest = F.max(F.struct("batch_id", *values)).alias("v")
-    return read_all(spark, path, schema).groupBy(*keys).agg(newest).select(*keys, *[f"v.{v}" for v in values])
-
-
-def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str]) -> None:
-    """Write the current state as the first batch of a new store, from which a job may go on."""
-    put(read_latest(spark, path, schema, keys), target, 0)

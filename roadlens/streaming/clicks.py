@@ -1,8 +1,9 @@
 """Ad clicks and active users.
 
 Two queries share the work. The first counts each click record per interval and appends the valid ones to files. The
-second reads those files, keeps the running totals, and adds users above the threshold to the blacklist. The blacklist
-lives in a store: batch k leaves out the users listed before it and may list new ones.
+second reads those files, keeps the running totals, and adds users above the threshold to the blacklist. Totals and
+blacklist are tables of one log, and a batch adds to both in one commit: batch k leaves out the users listed before it
+and may list new ones.
 """
 
 from __future__ import annotations
@@ -15,28 +16,41 @@ from pyspark.sql.streaming import StreamingQuery
 from roadlens.operators import clicks as ops
 from roadlens.schema import BLACKLIST, CLICKS
 from roadlens.sinks import store
+from roadlens.sinks.log import Log, Table
 from roadlens.streaming.common import ONCE, per_batch, to_files
 
 COUNTS = T.StructType(
     [T.StructField("window_start", T.TimestampType()), *CLICKS, T.StructField("n", T.LongType())]
 )
-TOTAL_KEYS = ("click_date", "user_id", "ad_id")
-TOTALS = T.StructType([*(CLICKS[k] for k in TOTAL_KEYS), T.StructField("clicked_count", T.LongType())])
+TOTAL_KEYS = ops.TOTAL_KEYS
+TOTALS = T.StructType(
+    [
+        *(CLICKS[k] for k in TOTAL_KEYS), T.StructField("event_day", T.TimestampType()),
+        T.StructField("clicked_count", T.LongType()),
+    ]
+)
+
+
+def click_log(spark: SparkSession, path: str) -> Log:
+    """Totals by day of the event, and the blacklist."""
+    return Log(spark, path, {"totals": Table(TOTALS, (*TOTAL_KEYS, "event_day")), "users": Table(BLACKLIST, ("user_id",))})
+
+
+def add_to_blacklist(spark: SparkSession, path: str, users: DataFrame) -> None:
+    """List users from outside the stream."""
+    log = click_log(spark, path)
+    log.commit({"users": log.write("users", users.select("user_id").distinct())})
 
 
 def create_blacklist(spark: SparkSession, path: str, users: DataFrame | None = None) -> None:
-    """Make the blacklist store, with users known from the start."""
-    store.create(spark, path, BLACKLIST)
-    if users is not None:
-        store.put(users.select("user_id"), path, -1)
+    """List the users known from the start; a log that is there stays as it is."""
+    if users is not None and click_log(spark, path).last().number < 0:
+        add_to_blacklist(spark, path, users)
 
 
-def blacklist(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The listed users as of now, or as of the start of a batch (so that a batch run again sees the same list)."""
-    listed = store.read_all(spark, path, BLACKLIST)
-    if before is not None:
-        listed = listed.where(F.col("batch_id") < before)
-    return listed.select("user_id").distinct()
+def blacklist(spark: SparkSession, path: str) -> DataFrame:
+    """The listed users as of now."""
+    return click_log(spark, path).read("users")
 
 
 def start_filter(records: DataFrame, blacklist_path: str, path: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
@@ -65,30 +79,39 @@ def read_valid_clicks(spark: SparkSession, path: str, **options: str) -> DataFra
 
 
 def start_totals(
-    valid: DataFrame, blacklist_path: str, path: str, checkpoint: str, threshold: int = 50, trigger: dict = ONCE
+    valid: DataFrame, path: str, checkpoint: str, threshold: int = 50, trigger: dict = ONCE, delay: str = "1 day"
 ) -> StreamingQuery:
-    """Keep the totals per day, user and ad, and list users above the threshold.
+    """Keep the totals per day, user and ad in a log, and list users above the threshold there.
 
-    The state holds the counts; a batch gives out the totals it changed. Leaving listed users out after the counting
-    is the same as before it, because every count belongs to one user.
+    The state holds the counts of the days of events that the watermark has not passed; a batch gives out those it
+    changed. A click's own day may differ from the day of its event, so a total is the sum over days of events, and the
+    log has the others of these. Leaving listed users out after the counting is the same as before it, because every
+    count belongs to one user.
     """
-    spark = valid.sparkSession
-    store.create(spark, path, TOTALS)
-    for owned in (path, blacklist_path):
-        store.claim(spark, owned, checkpoint)
+    click_log(valid.sparkSession, path).claim(store.run_of(valid.sparkSession, checkpoint))
 
     def update(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        listed = blacklist(session, blacklist_path, before=batch_id)
-        store.put(ops.without_blacklisted(batch, listed).select(*TOTALS.names), path, batch_id)
-        changed = session.read.schema(TOTALS).parquet(f"{path}/batch_id={batch_id}")
-        store.put(ops.new_blacklist(changed, threshold, listed), blacklist_path, batch_id)
-
-    return per_batch(ops.click_totals(valid), update, checkpoint, "update", trigger)
+        log = click_log(batch.sparkSession, path)
+        if log.done(batch_id):  # only the state is behind
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        listed, added = log.read("users"), {}
+        added["totals"] = log.write("totals", ops.without_blacklisted(batch, listed))
+        changed = log.at("totals", added["totals"])
+        low, high = changed.agg(F.min("click_date"), F.max("click_date")).first()
+        if low is not None:
+            earlier = log.read("totals", where=F.col("click_date").between(low, high))
+            earlier = earlier.join(changed, [*TOTAL_KEYS, "event_day"], "left_anti").join(changed, list(TOTAL_KEYS), "left_semi")
+            totals = ops.summed(changed.unionByName(earlier))
+            added["users"] = log.write("users", ops.new_blacklist(totals, threshold, listed))
+        log.commit(added, batch_id)
+
+    rows = ops.day_totals(valid.withWatermark("window_start", delay))
+    return per_batch(rows, update, checkpoint, "update", trigger)
 
 
 def read_totals(spark: SparkSession, path: str) -> DataFrame:
-    return store.read_latest(spark, path, TOTALS, TOTAL_KEYS)
+    return ops.summed(click_log(spark, path).read("totals"))
 
 
 def start_active_users(

@@ -31,24 +31,22 @@ def roads(
 def ad_clicks(
     lines: DataFrame, out: str, checkpoint: str, blacklist: str, threshold: int = 50, trigger: dict = ONCE
 ) -> list[StreamingQuery]:
-    """Valid clicks, and from their files the totals and the growing blacklist.
+    """Valid clicks, and from their files the totals and the growing blacklist, which are one log at ``blacklist``.
 
     A single pass takes the two one after the other, so that the totals have all the valid clicks.
     """
     spark = lines.sparkSession
-    clicks.create_blacklist(spark, blacklist)
     first = clicks.start_valid_clicks(parse_clicks(lines), f"{out}/valid", f"{checkpoint}/valid", trigger=trigger)
     if "availableNow" in trigger:
         first.awaitTermination()
     valid = clicks.read_valid_clicks(spark, f"{out}/valid")
-    return [first, clicks.start_totals(valid, blacklist, f"{out}/totals", f"{checkpoint}/totals", threshold, trigger)]
+    return [first, clicks.start_totals(valid, blacklist, f"{checkpoint}/totals", threshold, trigger)]
 
 
 def users(
     lines: DataFrame, out: str, checkpoint: str, blacklist: str, trigger: dict = ONCE
 ) -> list[StreamingQuery]:
     """Active users that the blacklist does not have when their interval is given out."""
-    clicks.create_blacklist(lines.sparkSession, blacklist)
     records = parse_active_users(lines)
     return [
         clicks.start_active_users(

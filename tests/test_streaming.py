@@ -74,40 +74,27 @@ def test_late_clicks_are_left_out(spark, tmp_path, feed):
 def test_blacklist_feeds_the_next_batch(spark, tmp_path):
     """Batch k leaves out who was listed before it and may list others; who is listed stays at that total."""
     valid = Feed(spark, tmp_path / "valid", clicks.COUNTS)
-    listed, out, cp = (str(tmp_path / n) for n in ("listed", "totals", "cp"))
+    listed, cp = (str(tmp_path / n) for n in ("listed", "cp"))
     clicks.create_blacklist(spark, listed, spark.createDataFrame([("known",)], "user_id string"))
     when = click(spark, "10:00:00", "u")[0]
     some = lambda user, n, ad="a": [(when, *click(spark, "10:00:00", user, ad)[1:], 1)] * n
 
     def run():
         rows = clicks.read_valid_clicks(spark, valid.path, maxFilesPerTrigger="1")
-        clicks.start_totals(rows, listed, out, cp, threshold=2).awaitTermination()
+        clicks.start_totals(rows, listed, cp, threshold=2).awaitTermination()
 
     valid.add(some("u", 2) + some("v", 3) + some("known", 9))
     run()
-    assert totals(clicks.read_totals(spark, out)) == {("u", "a"): 2, ("v", "a"): 3}
+    assert totals(clicks.read_totals(spark, listed)) == {("u", "a"): 2, ("v", "a"): 3}
     assert sorted(r.user_id for r in clicks.blacklist(spark, listed).collect()) == ["known", "v"]
     valid.add(some("u", 1) + some("v", 1) + some("w", 1))
     valid.add(some("u", 1) + some("u", 2, "b"))
     run()
     run()
-    assert totals(clicks.read_totals(spark, out)) == {("u", "a"): 3, ("v", "a"): 3, ("w", "a"): 1}
+    assert totals(clicks.read_totals(spark, listed)) == {("u", "a"): 3, ("v", "a"): 3, ("w", "a"): 1}
     assert sorted(r.user_id for r in clicks.blacklist(spark, listed).collect()) == ["known", "u", "v"]
 
 
-def test_a_batch_run_again_changes_nothing(spark, tmp_path):
-    path, schema = str(tmp_path / "store"), clicks.TOTALS
-    row = lambda n: spark.createDataFrame([("d", "u", "a", n)], schema)
-    store.create(spark, path, schema)
-    for batch, n in [(0, 1), (1, 5), (1, 5), (0, 1)]:
-        store.put(row(n), path, batch)
-    store.create(spark, path, schema)
-    assert totals(clicks.read_totals(spark, path)) == {("u", "a"): 5}
-    assert store.read_all(spark, path, schema).count() == 2
-    store.compact(spark, path, str(tmp_path / "small"), schema, clicks.TOTAL_KEYS)
-    assert totals(clicks.read_totals(spark, str(tmp_path / "small"))) == {("u", "a"): 5}
-
-
 def test_totals_over_many_files_equal_the_batch_chain(spark, tmp_path, folder):
     events = inputs.table(spark, folder, "events")
     feed = Feed(spark, tmp_path / "in", events.schema)
@@ -118,17 +105,17 @@ def test_totals_over_many_files_equal_the_batch_chain(spark, tmp_path, folder):
     closing = str(tmp_path / "closing")
     rows = common.replay(spark, str(tmp_path / "in"), closing, maxFilesPerTrigger="1")
     banned = inputs.blacklist(spark, folder)
-    valid, listed, out = (str(tmp_path / n) for n in ("valid", "listed", "totals"))
+    valid, listed = (str(tmp_path / n) for n in ("valid", "listed"))
     start = lambda: clicks.start_valid_clicks(
         inputs.clicks_of(rows), valid, str(tmp_path / "cp1"), "1 hour", delay="1 hour"
     )
     common.run_closed(start, events, "ts", closing)
     clicks.create_blacklist(spark, listed, banned)
     clicks.start_totals(
-        clicks.read_valid_clicks(spark, valid), listed, out, str(tmp_path / "cp2"), threshold=10**6
+        clicks.read_valid_clicks(spark, valid), listed, str(tmp_path / "cp2"), threshold=10**6
     ).awaitTermination()
     want = ops.ad_totals(inputs.clicks(spark, folder), banned, "1 hour")
-    got = clicks.read_totals(spark, out).where("user_id IS NOT NULL")
+    got = clicks.read_totals(spark, listed).where("user_id IS NOT NULL")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and got.count() == want.count()
 
 
@@ -150,8 +137,7 @@ def test_road_state_from_text_lines(spark, tmp_path):
     closed, now = str(tmp_path / "closed"), str(tmp_path / "now")
     road.start_road_state(rows, closed, str(tmp_path / "cp1"), delay="0 seconds").awaitTermination()
     road.start_road_state_now(rows, now, str(tmp_path / "cp2"), delay="0 seconds").awaitTermination()
-    schema = road.road_state_now(rows).schema
-    everything = store.read_latest(spark, now, schema, ["window_start", "monitor_id"])
+    everything = road.read_road_state_now(spark, now)
 
     def at(df, start, monitor="m"):
         row = df.where((F.date_format("window_start", "HH:mm:ss") == start) & (F.col("monitor_id") == monitor)).first()
@@ -167,12 +153,6 @@ def test_road_state_from_text_lines(spark, tmp_path):
     assert at(everything, "10:05:00") == (10, 1, 10.0)
 
 
-def test_road_state_forms_agree_on_tables(spark, folder):
-    p = inputs.passages_of(inputs.table(spark, folder, "events"))
-    two, one = (f(p, "1 hour", "10 minutes") for f in (road.road_state, road.road_state_now))
-    assert two.exceptAll(one).count() == 0 and one.exceptAll(two).count() == 0
-
-
 def test_watchlist_is_read_anew_for_every_batch(spark, tmp_path):
     feed = passage_feed(spark, tmp_path)
     wanted, out, cp = (str(tmp_path / n) for n in ("wanted", "out", "cp"))
@@ -191,7 +171,6 @@ def test_watchlist_is_read_anew_for_every_batch(spark, tmp_path):
 
 def test_filter_reads_the_blacklist_anew(spark, tmp_path, feed):
     listed, out, cp = (str(tmp_path / n) for n in ("listed", "out", "cp"))
-    clicks.create_blacklist(spark, listed)
 
     def run():
         clicks.start_filter(feed.stream(), listed, out, cp).awaitTermination()
@@ -199,7 +178,7 @@ def test_filter_reads_the_blacklist_anew(spark, tmp_path, feed):
 
     feed.add([click(spark, "10:00:00", "u")])
     assert run() == ["u"]
-    store.put(spark.createDataFrame([("u",)], "user_id string"), listed, 0)
+    clicks.add_to_blacklist(spark, listed, spark.createDataFrame([("u",)], "user_id string"))
     feed.add([click(spark, "10:00:01", "u"), click(spark, "10:00:01", "v")])
     assert run() == ["u", "v"]
 
@@ -285,32 +264,29 @@ def test_a_replay_of_nothing_fails(spark, tmp_path):
 def test_mean_speed_leaves_out_what_is_no_number(spark):
     rows = spark.createDataFrame([("m", "10"), ("m", "x"), ("n", "x")], "monitor_id string, speed string")
     rows = rows.withColumn("event_ts", F.lit("2024-01-05 10:00:01").cast("timestamp"))
-    for state in (road.road_state, road.road_state_now):
-        got = {(r.monitor_id, r.car_count, r.mean_speed) for r in state(rows).collect()}
-        assert got == {("m", 2, 10.0), ("n", 1, None)}
+    got = {(r.monitor_id, r.car_count, r.mean_speed) for r in road.road_state(rows).collect()}
+    assert got == {("m", 2, 10.0), ("n", 1, None)}
 
 
 def test_a_store_of_another_checkpoint_is_refused(spark, tmp_path):
     """A new checkpoint numbers its batches from 0 again and would answer with old totals."""
     valid = Feed(spark, tmp_path / "valid", clicks.COUNTS)
-    listed, out = str(tmp_path / "listed"), str(tmp_path / "totals")
-    clicks.create_blacklist(spark, listed)
+    listed = str(tmp_path / "listed")
     when = click(spark, "10:00:00", "u")[0]
     valid.add([(when, *click(spark, "10:00:00", "u")[1:], 1)] * 2)
 
     def run(cp):
-        clicks.start_totals(clicks.read_valid_clicks(spark, valid.path), listed, out, str(tmp_path / cp)).awaitTermination()
+        clicks.start_totals(clicks.read_valid_clicks(spark, valid.path), listed, str(tmp_path / cp)).awaitTermination()
 
     run("cp")
     run("cp")
     with pytest.raises(ValueError):
         run("new")
-    assert totals(clicks.read_totals(spark, out)) == {("u", "a"): 2}
+    assert totals(clicks.read_totals(spark, listed)) == {("u", "a"): 2}
 
 
 def test_active_users_leave_out_who_is_listed_between_batches(spark, tmp_path, feed):
     listed, out, cp = (str(tmp_path / n) for n in ("listed", "out", "cp"))
-    clicks.create_blacklist(spark, listed)
 
     def run():
         clicks.start_active_users(feed.stream(), out, cp, blacklist_path=listed).awaitTermination()
@@ -319,7 +295,7 @@ def test_active_users_leave_out_who_is_listed_between_batches(spark, tmp_path, f
     feed.add([click(spark, "10:00:01", "u"), click(spark, "10:00:01", "v")])
     feed.add([click(spark, "10:05:00", "u"), click(spark, "10:05:00", "v")])
     assert run() == [(0, "u"), (0, "v")]
-    store.put(spark.createDataFrame([("u",)], "user_id string"), listed, 0)
+    clicks.add_to_blacklist(spark, listed, spark.createDataFrame([("u",)], "user_id string"))
     feed.add([click(spark, "10:10:00", "w")])
     assert run() == [(0, "u"), (0, "v"), (5, "v")]
 
@@ -354,7 +330,7 @@ def test_stream_jobs_from_the_command_line(spark, tmp_path, stream_settings):
     put("clicks2", 9, "\t".join(["2024-01-05", "ip", "v", "a", "P", "C"]))
     for _ in range(2):
         run("stream-clicks", *listed, "--threshold", "2", "--option", "pathGlobFilter=clicks*")
-    assert totals(clicks.read_totals(spark, str(tmp_path / "out" / "totals"))) == {("u", "a"): 3}
+    assert totals(clicks.read_totals(spark, str(tmp_path / "listed"))) == {("u", "a"): 3}
     put("users1", 0, "2024-01-05 page u", "2024-01-05 page w", "2024-01-05 page w")
     put("users2", 9, "2024-01-05 page x")
     run("stream-users", *listed, "--option", "pathGlobFilter=users*")
