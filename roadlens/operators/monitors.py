@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.columns import SPEED_BANDS, lenient_seconds, safe_int, speed_band
@@ -10,10 +10,35 @@ from roadlens.operators.sizing import is_small
 from roadlens.sinks import store
 
 
+#: The column that says for how many passages a counted row stands.
+COUNT = "passage_count"
+
+
+def counted(passages: DataFrame) -> DataFrame:
+    """One row per checkpoint, camera and speed, with the number of its passages.
+
+    All functions here that count take these rows as well as passages, so that several results share one pass over the
+    fact. Rows are bounded by the cameras times the speeds.
+    """
+    return passages.groupBy("monitor_id", "camera_id", safe_int("speed").alias("speed_kmh")).agg(
+        F.count("*").alias(COUNT), F.max("area_id").alias("area_id")
+    )
+
+
+def _passages(rows: DataFrame, when: Column | None = None) -> Column:
+    """The number of passages in a group of passages or of counted rows."""
+    one = F.col(COUNT) if COUNT in rows.columns else F.lit(1)
+    return F.coalesce(F.sum(one if when is None else F.when(when, one)), F.lit(0))
+
+
+def _speed(rows: DataFrame) -> Column:
+    return F.col("speed_kmh") if COUNT in rows.columns else safe_int("speed")
+
+
 def _seen(passages: DataFrame) -> DataFrame:
     """One row per camera that saw something. All later steps work on these few rows, not on passages."""
     return passages.groupBy("monitor_id", "camera_id").agg(
-        F.count("*").alias("n"), F.max("area_id").alias("area_id")
+        _passages(passages).alias("n"), F.max("area_id").alias("area_id")
     )
 
 
@@ -113,8 +138,8 @@ def monitor_state(health: DataFrame) -> DataFrame:
 
 def top_monitors(roster: DataFrame, passages: DataFrame, top_n: int) -> DataFrame:
     """Busiest checkpoints among those the roster knows; equal counts go by monitor_id."""
-    counted = passages.groupBy("monitor_id").agg(F.count("*").alias("car_count"))
-    known = counted.join(roster.select("monitor_id"), "monitor_id", "left_semi")
+    counts = passages.groupBy("monitor_id").agg(_passages(passages).alias("car_count"))
+    known = counts.join(roster.select("monitor_id"), "monitor_id", "left_semi")
     return known.orderBy(F.desc("car_count"), "monitor_id").limit(top_n)
 
 
@@ -125,9 +150,9 @@ def passages_of(passages: DataFrame, monitors: DataFrame) -> DataFrame:
 
 def speed_bands(passages: DataFrame) -> DataFrame:
     """Passages of each speed band per checkpoint."""
-    band = speed_band(safe_int("speed"))
+    band = speed_band(_speed(passages))
     return passages.groupBy("monitor_id").agg(
-        *[F.count_if(F.coalesce(band == name, F.lit(False))).alias(f"{name}_count") for name, _ in SPEED_BANDS]
+        *[_passages(passages, band == name).alias(f"{name}_count") for name, _ in SPEED_BANDS]
     )
 
 
@@ -148,8 +173,8 @@ def _speed_floor(rows: DataFrame, top_n: int) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        rows.groupBy("monitor_id", "speed_kmh")
-        .agg(F.count("*").alias("n"))
+        rows.groupBy("monitor_id", _speed(rows).alias("speed_kmh"))
+        .agg(_passages(rows).alias("n"))
         .withColumn("faster", F.coalesce(F.sum("n").over(faster), F.lit(0)))
         .where(F.col("faster") < top_n)
         .groupBy("monitor_id")
@@ -157,19 +182,22 @@ def _speed_floor(rows: DataFrame, top_n: int) -> DataFrame:
     )
 
 
-def fastest_passages(passages: DataFrame, monitors: DataFrame, top_n: int = 10, tie: tuple[str, ...] = ()) -> DataFrame:
+def fastest_passages(
+    passages: DataFrame, monitors: DataFrame, top_n: int = 10, tie: tuple[str, ...] = (), counts: DataFrame | None = None
+) -> DataFrame:
     """The fastest passages at each of the given checkpoints, which are a top list of a few rows.
 
     Passages below the speed floor of their checkpoint go before anything is sorted. The rank limit then applies
     before the shuffle as well (WindowGroupLimit), so a checkpoint with a third of all passages sends ``top_n`` rows
-    per task. The floors, one row per given checkpoint, are broadcast if the list is as short as it should be.
+    per task. The floors, one row per given checkpoint, are broadcast if the list is as short as it should be. They come
+    from ``counts``, the counted passages, if these are at hand.
     """
     order = Window.partitionBy("monitor_id").orderBy(
         F.desc_nulls_last("speed_kmh"), F.asc("event_sec"), F.asc("car"), *[F.asc(t) for t in tie]
     )
     with_speed = passages.withColumn("speed_kmh", safe_int("speed"))
     monitors = store.staged(monitors.select("monitor_id"), "monitors")
-    floors = _speed_floor(passages_of(with_speed, monitors), top_n)
+    floors = _speed_floor(passages_of(passages if counts is None else counts, monitors), top_n)
     if is_small(monitors):
         floors = F.broadcast(floors)
     return (

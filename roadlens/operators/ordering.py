@@ -7,7 +7,8 @@ which combine on the map side:
 * Ordinary keys have at most ``hot_rows`` rows each and go the direct way: one shuffle by key.
 * Hot keys are sliced along their own order, for example by second. Counts per (key, slice) and a running sum over them
   give the number of rows before each slice; rows are ranked inside their slice only, and both add up to the exact
-  position. Their lists are built in parts of consecutive positions.
+  position. Their lists are built in parts of consecutive positions. The running sum is in two levels, so that it isn't
+  one task for all seconds of a key either: over the days of the key, and over the seconds of each day.
 
 Lists come in parts of ``part_rows`` items, for every key alike, so the rows of a result do not depend on ``hot_rows``,
 which decides on the plan only. A key with at most ``part_rows`` items gives one row, part 0, with the whole list.
@@ -39,18 +40,33 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> t
     return tuple(keyed.join(hot, "_key", how).drop("_key") for how in ("left_anti", "left_semi"))
 
 
-def slice_offsets(df: DataFrame, keys: Sequence[str], slice_: Column) -> DataFrame:
-    """Per (key, slice), as one struct column ``_group``: the rows of the key ``_before`` the slice."""
-    counts = df.groupBy(F.struct(*keys, slice_.alias("_slice")).alias("_group")).agg(F.count("*").alias("_rows"))
-    earlier = (
-        Window.partitionBy(*[F.col(f"_group.{k}") for k in keys])
-        .orderBy("_group._slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return counts.select("_group", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-
+def slice_offsets(df: DataFrame, keys: Sequence[str], slice_: Column, span: Column | None = None) -> DataFrame:
+    """Per (key, slice), as one struct column ``_group``: the rows of the key ``_before`` the slice.
 
-def number_in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_: Column) -> DataFrame:
+    ``span`` joins slices in a row, such as the seconds of a day: sums run over the spans of a key and over the slices of
+    a span, and no task has more rows than either. A slice has to be in one span, and spans in the order of the slices.
+    """
+    group = F.struct(*keys, slice_.alias("_slice")).alias("_group")
+    if span is None:
+        counts = df.groupBy(group).agg(F.count("*").alias("_rows"))
+        return counts.select("_group", _running([F.col(f"_group.{k}") for k in keys], "_group._slice").alias("_before"))
+    spans = F.struct(*keys, span.alias("_at")).alias("_span")
+    counts = df.groupBy(spans, group).agg(F.count("*").alias("_rows"))
+    totals = counts.groupBy("_span").agg(F.sum("_rows").alias("_rows"))
+    earlier = totals.select("_span", _running([F.col(f"_span.{k}") for k in keys], "_span._at").alias("_earlier"))
+    within = counts.select("_span", "_group", _running([F.col("_span")], "_group._slice").alias("_within"))
+    return within.join(earlier, "_span").select("_group", (F.col("_earlier") + F.col("_within")).alias("_before"))
+
+
+def _running(by: Sequence[Column], order: str) -> Column:
+    """The rows before the current one."""
+    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_rows").over(before), F.lit(0))
+
+
+def number_in_slices(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_: Column, span: Column | None = None
+) -> DataFrame:
     """Add ``pos``, the position (from 1) of each row in its key. ``slice_`` must never decrease along ``order``.
 
     The rows are shuffled and sorted once: the join with the offsets uses the partitions and the order of the ranking.
@@ -58,19 +74,20 @@ def number_in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], s
     rank = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
     ranked = df.withColumn("_group", F.struct(*keys, slice_.alias("_slice"))).withColumn("_rank", rank)
     return (
-        ranked.join(slice_offsets(df, keys, slice_), "_group")
+        ranked.join(slice_offsets(df, keys, slice_, span), "_group")
         .withColumn("pos", F.col("_before") + F.col("_rank"))
         .drop("_group", "_before", "_rank")
     )
 
 
 def number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_: Column, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_: Column, hot_rows: int = HOT_ROWS,
+    span: Column | None = None,
 ) -> DataFrame:
     """Add ``pos`` to the rows of all keys, sliced where the key is hot."""
     ordinary, hot = split_hot(df, keys, hot_rows)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    return ordinary.withColumn("pos", rank).unionByName(number_in_slices(hot, keys, order, slice_))
+    return ordinary.withColumn("pos", rank).unionByName(number_in_slices(hot, keys, order, slice_, span))
 
 
 def ordered_lists(
@@ -84,6 +101,7 @@ def ordered_lists(
     last: str | None = None,
     hot_rows: int = HOT_ROWS,
     part_rows: int = PART_ROWS,
+    span: Column | None = None,
 ) -> DataFrame:
     """Join the items of each key in order, ``part_rows`` to a row.
 
@@ -102,7 +120,7 @@ def ordered_lists(
     cut = F.transform(starts, lambda i: F.slice("_rows", i * part_rows + 1, part_rows))
     whole = join_items(ordinary.groupBy(*keys), order).select(*keys, F.posexplode(cut).alias("part", "_rows"))
     whole = whole.withColumn("part", F.col("part").cast("bigint"))
-    parts = join_items(number_in_slices(hot, keys, order, slice_).groupBy(*keys, part), ["pos"])
+    parts = join_items(number_in_slices(hot, keys, order, slice_, span).groupBy(*keys, part), ["pos"])
     text = F.array_join(F.transform("_rows", lambda r: r["item"]), sep).alias(name)
     kept = [] if last is None else [F.element_at("_rows", -1)["last"].alias(last)]
     return whole.select(*keys, "part", *kept, text).unionByName(parts.select(*keys, "part", *kept, text))

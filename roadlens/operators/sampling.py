@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.columns import date_hour
 from roadlens.operators.ordering import slice_offsets
-from roadlens.operators.sizing import broadcast_if_small
-from roadlens.sinks import store
 
 # A sample has at most extract_num cars; up to this many are broadcast (about 50 MB), beyond it the join shuffles.
 BROADCAST_CARS = 1_000_000
@@ -55,27 +53,24 @@ def sample_quota(passages: DataFrame, extract_num: int) -> DataFrame:
 def sample_cars(passages: DataFrame, extract_num: int, seed: int = 42) -> DataFrame:
     """Draw exactly the quota of each hour, without repetition: the cars with the smallest seeded hashes.
 
-    An hour is cut into 256 slices by the first hash digits. Counts per slice tell how many slices the quota reaches
-    into; cars beyond them are dropped before the shuffle for the ranking, by a join with one row per hour, broadcast if the hours are few enough. No task
-    ranks more than one slice of an hour.
+    An hour is cut into 256 slices by the first hash digits. Counts per slice tell which slices the quota reaches, and
+    the join with these drops all other cars before the shuffle for the ranking; no task ranks more than one slice of an
+    hour. Counts, quotas and the ranking share the shuffle that makes cars distinct.
     """
     text = F.concat_ws("|", F.lit(str(seed)), "date", "hour", "car")
     cars = hourly_cars(passages).withColumn("h", F.md5(text)).withColumn("head", F.substring("h", 1, 2))
     quota = sample_quota(passages, extract_num).where(F.col("quota") > 0).select("date", "hour", "quota")
     reached = (
         slice_offsets(cars, ["date", "hour"], F.col("head"))
-        .withColumns({"date": F.col("_group.date"), "hour": F.col("_group.hour")})
+        .select("_group", "_before", F.col("_group.date").alias("date"), F.col("_group.hour").alias("hour"))
         .join(quota, ["date", "hour"])
         .where(F.col("_before") < F.col("quota"))
+        .select("_group", "_before", "quota")
     )
-    reached = store.staged(reached, "reached")
-    last = reached.groupBy("date", "hour").agg(F.max("_group._slice").alias("last"))
     rank = F.row_number().over(Window.partitionBy("_group").orderBy("h", "car"))
     return (
-        cars.join(broadcast_if_small(last), ["date", "hour"])
-        .where(F.col("head") <= F.col("last"))
-        .withColumn("_group", F.struct("date", "hour", F.col("head").alias("_slice")))
-        .join(reached.select("_group", "_before", "quota"), "_group")
+        cars.withColumn("_group", F.struct("date", "hour", F.col("head").alias("_slice")))
+        .join(reached, "_group")
         .withColumn("draw", F.col("_before") + rank)
         .where(F.col("draw") <= F.col("quota"))
         .select("date", "hour", "car", F.concat("date", F.lit("_"), "hour").alias("date_hour"))

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.columns import lenient_seconds, range_label
 from roadlens.operators.ordering import HOT_ROWS, PART_ROWS, number_within, ordered_lists
+from roadlens.sinks import store
 
 TIE = ("monitor_id", "camera_id")
 #: A hot key is sliced by the second, the finest unit of the times, so a slice holds what one second does.
 SLICE_SECONDS = 1
+#: Cells of the filter ahead of the join with wanted cars: some 8 MB as numbers.
+CELLS = 1 << 20
 
 
 def _timed(passages: DataFrame, tie: Sequence[str], *columns: str) -> DataFrame:
@@ -25,11 +28,15 @@ def _slice(seconds: int = SLICE_SECONDS) -> Column:
     return F.floor(F.col("event_sec") / seconds)
 
 
+def _day() -> Column:
+    return F.floor(F.col("event_sec") / 86400)
+
+
 def in_car_order(
     passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
     """Number each car's passages by time; equal times go by the tie columns. A hot car is sliced by the second."""
-    return number_within(_timed(passages, tie), ["car"], ["event_sec", *tie], _slice(slice_seconds), hot_rows)
+    return number_within(_timed(passages, tie), ["car"], ["event_sec", *tie], _slice(slice_seconds), hot_rows, _day())
 
 
 def car_track(
@@ -38,7 +45,7 @@ def car_track(
     """The checkpoints each car passed, 'm1,m2,…' in time order, with the date of the last of them."""
     return ordered_lists(
         _timed(passages, tie, "date"), ["car"], ["event_sec", *tie], _slice(), F.col("monitor_id"), ",", "track",
-        last="date", hot_rows=hot_rows, part_rows=part_rows,
+        last="date", hot_rows=hot_rows, part_rows=part_rows, span=_day(),
     )
 
 
@@ -49,7 +56,7 @@ def car_track_times(
     item = F.concat("monitor_id", F.lit("="), "action_time")
     return ordered_lists(
         _timed(passages, tie, "action_time"), ["car"], ["event_sec", *tie], _slice(), item, "|", "track",
-        hot_rows=hot_rows, part_rows=part_rows,
+        hot_rows=hot_rows, part_rows=part_rows, span=_day(),
     )
 
 
@@ -74,7 +81,8 @@ def cars_per_range(
     """Per checkpoint and range: 'car=time|car=time' by time, then car. Also renders stored and new visits together."""
     order, item = ["event_sec", "car", *tie], F.concat("car", F.lit("="), "action_time")
     return ordered_lists(
-        visits, ["monitor_id", "range_time"], order, _slice(), item, "|", "cars", hot_rows=hot_rows, part_rows=part_rows
+        visits, ["monitor_id", "range_time"], order, _slice(), item, "|", "cars", hot_rows=hot_rows, part_rows=part_rows,
+        span=_day(),
     )
 
 
@@ -94,6 +102,9 @@ def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -
     from first - gap on. That gives one row per wanted car and bucket, and each passage meets it once: the work is
     linear in the passages even when one car or one checkpoint has a third of them. Where Spark does not know the size
     of ``wanted``, pass it through sizing.broadcast_if_small.
+
+    The buckets that wanted cars reach into are written once. Hashed to ``CELLS`` cells, which bounds what is broadcast,
+    they drop the passages that meet none of them before these are shuffled for the join.
     """
     timed = passages.select("monitor_id", "car", lenient_seconds("action_time").alias("event_sec")).withColumn(
         "bucket", F.floor(F.col("event_sec") / gap_seconds)
@@ -108,8 +119,12 @@ def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -
         .groupBy("wanted_car", "monitor_id", F.col("r.bucket").alias("bucket"))
         .agg(F.max("r.until").alias("until"), F.min("r.since").alias("since"))
     )
+    near = store.staged(near, "near")
+    cell = F.pmod(F.xxhash64("monitor_id", "bucket"), F.lit(CELLS)).alias("cell")
+    cells = near.select(cell).distinct()  # at most CELLS numbers
     t = F.col("event_sec")
-    met = timed.join(near, ["monitor_id", "bucket"]).where(
+    reached = timed.select("*", cell).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
+    met = reached.join(near, ["monitor_id", "bucket"]).where(
         (F.col("car") != F.col("wanted_car")) & ((t <= F.col("until")) | (t >= F.col("since")))
     )
     return met.groupBy("wanted_car", "car", "monitor_id").agg(F.count("*").alias("n_passages"))

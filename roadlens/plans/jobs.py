@@ -2,7 +2,7 @@
 
 Each job is a function from the inputs to named results; ``run`` saves them. Nothing is cached: every result reads only
 its own columns of the days in the date range, which is cheaper than holding the fact in memory, and what is costly to
-make and small, such as a sample, is written to the shared folder, where it outlives a lost executor.
+make and small, such as counts or a sample, is written to the shared folder, where it outlives a lost executor.
 """
 
 from __future__ import annotations
@@ -36,15 +36,19 @@ def _needed(value, name: str, params: JobParams):
 
 
 def monitor_flow(passages: DataFrame, roster: DataFrame, params: JobParams) -> Results:
-    """Camera health, busiest checkpoints with their passages, and the fastest passages at the fastest checkpoints."""
-    days = _days(passages, params)
-    top = monitors.top_monitors(roster, days, _needed(params.top_num, "topNum", params))
-    fastest = monitors.fastest_monitors(monitors.speed_bands(days))
+    """Camera health, busiest checkpoints with their passages, and the fastest passages at the fastest checkpoints.
+
+    One pass over the fact counts for all four; only the passages that two of them list are read in a second and third.
+    """
+    days, n = _days(passages, params), _needed(params.top_num, "topNum", params)
+    counts = store.staged(monitors.counted(days), "counts")
+    top = monitors.top_monitors(roster, counts, n)
+    fastest = monitors.fastest_monitors(monitors.speed_bands(counts))
     return {
         "topn_monitor_car_count": top,
         "topn_monitor_detail_info": monitors.passages_of(days, top).select(*DETAIL_FIELDS),
-        "monitor_state": monitors.monitor_state(monitors.monitor_health(roster, days)),
-        "top10_speed_detail": monitors.fastest_passages(days, fastest).select(*DETAIL_FIELDS),
+        "monitor_state": monitors.monitor_state(monitors.monitor_health(roster, counts)),
+        "top10_speed_detail": monitors.fastest_passages(days, fastest, counts=counts).select(*DETAIL_FIELDS),
     }
 
 
