@@ -1,15 +1,16 @@
 """Shards of equal row counts that keep equal texts together, by balanced label propagation in DataFrame functions.
 
 The graph links documents with equal texts; a group of copies stands for its links, so no pairs are made. Documents
-start on shards by hash. In each round a group's documents want to go where most of it already is; joins bring the votes
-to the documents, and a shard takes in only so many as its capacity leaves room for, chosen by hash, groups as a whole.
-What is still on several shards after the rounds goes where most of it is. A large group starts together, stays there
-and takes no capacity from the others.
-
-The exact law comes from one order of all documents: by label, and within a label linked groups between unlinked
-documents. A group has one label and so is one run of this order; cutting it into equal ranges splits at most one group
-at each border, and large groups are spread over neighbours. Positions come from ranks within a bucket, counts of the buckets within
-their prefix, and counts of the prefixes, whose number is fixed; the number of buckets grows with the documents.
+start on shards by hash; a large group fills one shard after the other, and the rest is drawn by the room that is left.
+In each round a group's documents want to go where most of it already
+is; joins bring the votes to the documents, and a shard takes in only so many as its capacity leaves room for, chosen by
+hash, groups as a whole. The last round takes in all that is still on several shards.
+
+A document's shard is its label. Only what the labels are over the exact law moves on, to the shards that lack rows:
+documents without links first, then smaller groups as a whole, and of large groups only if nothing else is left. What
+moves is a run of each label's order and goes to runs of places, so no more than ``shards`` - 1 smaller groups are split.
+Positions come from ranks within a bucket, counts of the buckets within their prefix, and counts of the prefixes, whose
+number is fixed; the number of buckets grows with the documents.
 """
 
 from __future__ import annotations
@@ -37,17 +38,17 @@ def _fraction(*columns) -> Column:
 
 
 def _propagated(linked: DataFrame, loads: dict[int, int], shards: int, rounds: int, slack: float, kept: Kept) -> DataFrame:
-    """One label for each group of the linked documents (row, grp, n, label). ``loads``: other documents per shard."""
+    """New labels of the linked documents (row, grp, n, label) after the rounds. ``loads``: other documents per shard."""
     state = linked
-    for i in range(rounds + 1):
+    for i in range(rounds):
         votes = state.groupBy("grp", "label").agg(F.count("*").alias("votes"))
         most = votes.groupBy("grp").agg(F.max(F.struct("votes", F.xxhash64("grp", "label"), "label")).alias("most"))
         # kept apart, so that the joins can split the rows of a large group
         wish = kept.keep(most.select("grp", F.col("most.label").alias("wish")), f"wish-{i}")
-        if i == rounds:
-            # no room was left for these: the exact cut balances the shards, but it needs every group in one run
+        if i == rounds - 1:
+            # no room was left for these; documents without links make it when the exact law is settled
             whole = kept.keep(state.join(wish, "grp").select("row", "grp", "n", F.col("wish").alias("label")), "whole")
-            if rounds:
+            if i:
                 kept.drop(f"round-{i - 1}")
             return whole
         flow = votes.join(wish, "grp").groupBy("label", "wish").agg(F.sum("votes").alias("n")).collect()  # shards^2 rows
@@ -60,7 +61,7 @@ def _propagated(linked: DataFrame, loads: dict[int, int], shards: int, rounds: i
         if not any(into.values()):
             break
         capacity = sum(here.values()) / shards * (1 + slack)
-        # what leaves makes room as well, as far as it is let in elsewhere; two passes over shards^2 numbers settle it
+        # what leaves makes room as well, as far as it is let in elsewhere; eight passes over shards^2 numbers settle it
         share = dict.fromkeys(range(shards), 1.0)
         for _ in range(8):
             left = {s: sum(r["n"] * share[r["wish"]] for r in flow if r["label"] == s != r["wish"]) for s in share}
@@ -74,16 +75,16 @@ def _propagated(linked: DataFrame, loads: dict[int, int], shards: int, rounds: i
     return state
 
 
-def _ranked(labelled: DataFrame, total: int, shards: int, kept: Kept) -> DataFrame:
-    """Add ``rank``, the position from 0 in the order (label, zone, prefix, bucket, group)."""
+def _ranked(labelled: DataFrame, total: int, shards: int, kept: Kept) -> tuple[DataFrame, dict[int, int]]:
+    """Add ``rank``, the position from 0 in the order (label, zone, prefix, bucket, group), and keep the counts by label."""
     hot = F.coalesce(F.col("n") > HOT, F.lit(False))
     place = F.when(F.col("n").isNotNull(), F.xxhash64("grp")).otherwise(F.xxhash64("row"))
     buckets = max(1, -(-total // (shards * _PREFIXES * BUCKET_ROWS)))
     placed = kept.keep(
         labelled.select(
             "*",
-            # unlinked documents lie on both sides of the linked ones
-            F.when(F.col("n").isNotNull(), 1).otherwise(2 * F.pmod(F.xxhash64("row", F.lit(1)), F.lit(2)).cast("int")).alias("zone"),
+            # what comes first in a label moves first
+            F.when(F.col("n").isNull(), 0).when(F.col("large"), 2).otherwise(1).alias("zone"),
             F.pmod(place, F.lit(_PREFIXES)).alias("prefix"),
             F.pmod(F.floor(place / _PREFIXES), F.lit(buckets)).alias("sub"),
             F.when(hot, F.col("grp")).otherwise("").alias("hot"),
@@ -100,7 +101,45 @@ def _ranked(labelled: DataFrame, total: int, shards: int, kept: Kept) -> DataFra
     before = (F.col("base") + F.col("within")).alias("before")
     offsets = kept.keep(counts.select(*_BUCKET, within).join(prefixes, list(_PREFIX)).select(*_BUCKET, before), "offsets")
     inside = F.row_number().over(Window.partitionBy(*_BUCKET).orderBy(F.coalesce("grp", F.lit("")), "row")) - 1
-    return placed.withColumn("inside", inside).join(offsets, list(_BUCKET)).withColumn("rank", F.col("before") + F.col("inside"))
+    sizes = counts.groupBy("label").agg(F.sum("rows").alias("rows")).collect()  # shards rows
+    ranked = placed.withColumn("inside", inside).join(offsets, list(_BUCKET)).withColumn("rank", F.col("before") + F.col("inside"))
+    return ranked, {r["label"]: r["rows"] for r in sizes}
+
+
+def _settled(sizes: dict[int, int], total: int, shards: int) -> tuple[Column, Column]:
+    """Shard and slot by label and rank: what a label has over its even size goes to the shards that lack rows, in order."""
+    have = [sizes.get(s, 0) for s in range(shards)]
+    fuller = sorted(range(shards), key=lambda s: -have[s])[: total % shards]  # these keep a row more
+    even = [total // shards + (s in fuller) for s in range(shards)]
+    over, lacks = [max(0, h - e) for h, e in zip(have, even)], [max(0, e - h) for h, e in zip(have, even)]
+    at = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("label") + 1)
+    place = F.col("rank") - at([sum(have[:s]) for s in range(shards)])
+    moves, index = place < at(over), at([sum(over[:s]) for s in range(shards)]) + place
+    shard, slot = F.col("label"), place - at(over)
+    for s in range(shards):
+        begin = sum(lacks[:s])
+        here = moves & (index >= begin) & (index < begin + lacks[s])
+        shard = F.when(here, F.lit(s)).otherwise(shard)
+        slot = F.when(here, index - begin + have[s]).otherwise(slot)
+    return shard.cast("int"), slot.cast("long")
+
+
+def _first_labels(large: list, total: int, shards: int) -> Column:
+    """The shard a document starts on. Large groups lie side by side on a line of even shards; others fill what is left."""
+    even, at, draw = total / shards, 0, _fraction(F.lit(0), "row")
+    room, label = [even] * shards, None
+    for g in large:
+        for s in range(int(at / even), min(int((at + g["n"]) / even), shards - 1) + 1):
+            until = min(at + g["n"], (s + 1) * even)
+            room[s] -= max(0.0, until - max(at, s * even))
+            here = (F.col("grp") == g["grp"]) & (draw < (until - at) / g["n"])
+            label = F.when(here, s) if label is None else label.when(here, s)
+        at += g["n"]
+    room = [max(0.0, r) for r in room]
+    for s in range(shards - 1):
+        here = draw < sum(room[: s + 1]) / (sum(room) or 1)
+        label = F.when(here, s) if label is None else label.when(here, s)
+    return label.otherwise(shards - 1).cast("int")
 
 
 def sharded(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
@@ -121,25 +160,21 @@ def sharded(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, sl
         "documents",
     )
     total = base.count()
-    # a group that would fill a good part of a shard is in one place: the final cut spreads it over neighbours
-    large = F.coalesce(F.col("n") > total / shards / 8, F.lit(False))
-    seed = F.when(large, F.xxhash64(F.lit(0), "grp")).otherwise(F.xxhash64(F.lit(0), "row"))
-    first = F.pmod(seed, F.lit(shards)).cast("int").alias("label")
     groups = kept.keep(base.where("grp is not null").groupBy("grp").agg(F.count("*").alias("n")).where("n > 1"), "groups")
-    joined = kept.keep(base.select("row", "grp").join(groups, "grp", "left").withColumn("label", first), "labelled")
+    # groups that fill a good part of a shard: fewer than 8 * shards
+    big = groups.where(F.col("n") > total / shards / 8).orderBy(F.desc("n"), "grp").collect()
+    large = F.coalesce(F.col("n") > total / shards / 8, F.lit(False))
+    joined = base.select("row", "grp").join(groups, "grp", "left").withColumn("label", _first_labels(big, total, shards))
+    joined = kept.keep(joined, "labelled")
     still = joined.where(F.col("n").isNull() | large)
     still = still.select("row", F.when(F.col("n").isNotNull(), F.col("grp")).alias("grp"), "n", "label")
-    loads = {r["label"]: r["n"] for r in still.where("n is null").groupBy("label").agg(F.count("*").alias("n")).collect()}  # shards rows
+    loads = {r["label"]: r["n"] for r in still.groupBy("label").agg(F.count("*").alias("n")).collect()}  # shards rows
     linked = _propagated(joined.where(F.col("n").isNotNull() & ~large).select("row", "grp", "n", "label"), loads, shards, rounds, slack, kept)
-    ranked = _ranked(linked.unionByName(still), total, shards, kept)
-    position = F.col("rank")
-    shard = F.floor(position * shards / F.lit(max(total, 1))).cast("int")
-    begin = F.ceil(F.col("shard") * F.lit(total) / shards)
+    labelled = linked.withColumn("large", F.lit(False)).unionByName(still.withColumn("large", F.col("n").isNotNull()))
+    ranked, sizes = _ranked(labelled, total, shards, kept)
+    shard, slot = _settled(sizes, total, shards)
     return (
-        ranked.select("row", position, shard.alias("shard"))
+        ranked.select("row", shard.alias("shard"), slot.alias("slot"))
         .join(base, "row")
-        .select(
-            "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-            (F.col("rank") - begin).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-        )
+        .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
     )

@@ -42,6 +42,38 @@ def test_small_groups_beside_a_large_one_stay_whole(docs_of):
     assert len(shards) == 600 and sum(len(s) > 1 for s in shards.values()) <= 7
 
 
+def cut(rows, texts):
+    """Links between copies that lie on different shards, a group counting as a chain by its most frequent shard."""
+    groups = defaultdict(Counter)
+    for r in rows:
+        groups[texts[r["doc_id"]]][r["shard"]] += 1
+    return sum(sum(g.values()) - max(g.values()) for g in groups.values())
+
+
+def test_rounds_of_propagation_decide_on_the_shards(docs_of):
+    """Hubs of many copies beside pairs: without rounds the copies stay where the hash put them."""
+    texts = {i: f"hub{i % 20}" if i < 350 else f"pair{i // 2}" if i < 1150 else f"one{i}" for i in range(2000)}
+    docs = docs_of(list(texts.items()))
+    found = [sharding.sharded(docs, rounds=n).collect() for n in (0, 1, 5)]
+    for rows in found:
+        check(rows)
+    cuts = [cut(rows, texts) for rows in found]
+    assert cuts[0] > 500 and cuts[1] <= 8 and cuts[2] <= 8
+    # documents with links are where the labels of the last round put them: none moved while others could
+    split = [t for t, n in Counter(texts.values()).items() if n > 1 and len({r["shard"] for r in found[2] if texts[r["doc_id"]] == t}) > 1]
+    assert split == []
+
+
+def test_a_table_of_groups_alone_is_even_and_splits_few(docs_of):
+    texts = {i: f"g{i // 10}" for i in range(803)}
+    rows = sharding.sharded(docs_of(list(texts.items()))).collect()
+    check(rows)
+    shards = defaultdict(set)
+    for r in rows:
+        shards[texts[r["doc_id"]]].add(r["shard"])
+    assert sum(len(s) > 1 for s in shards.values()) <= 7
+
+
 def test_odd_rows(odd, none):
     rows = sharding.sharded(odd).collect()
     check(rows)
@@ -49,9 +81,17 @@ def test_odd_rows(odd, none):
     assert sharding.sharded(none).count() == 0
 
 
-def test_plan_has_no_python(spark, small):
-    plan = sharding.sharded(spark.read.parquet(f"{small}/documents.parquet"))._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Cartesian" not in plan
+def test_plans_have_no_python(spark, small, monkeypatch):
+    """Of every step that is written, and of the result."""
+    plans, keep = [], sharding.Kept.keep
+
+    def seen(self, df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        return keep(self, df, name)
+
+    monkeypatch.setattr(sharding.Kept, "keep", seen)
+    plans.append(sharding.sharded(spark.read.parquet(f"{small}/documents.parquet"))._jdf.queryExecution().toString())
+    assert len(plans) > 8 and not any(word in plan for plan in plans for word in ("Python", "Arrow", "Pandas", "Cartesian"))
 
 
 def test_stages(spark, folder, small):
