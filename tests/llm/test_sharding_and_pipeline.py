@@ -132,3 +132,79 @@ def test_stages_judge_rows_and_not_ids(spark, docs_of, small):
     assert found(p.drop_contaminated(spark, docs, small)) == sorted([(1, one), (3, two), (None, two)], key=repr)
     kept = p.drop_toxic(spark, docs.withColumn("_toxicity", F.lit(3.0)), small)
     assert {r["_toxicity"] for r in kept.collect()} == {3.0}
+
+
+def test_run_against_plain_python(spark, folder, docs_of, tmp_path):
+    """Every stage over a planted table: scores of the trained model, all pairs, all windows, ids of the tokenizer."""
+    import itertools
+    import re
+
+    import corpus_pipeline as p
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from roadlens.llm import secret_scan, simhash_dedup, toxicity
+    from roadlens.llm.queries import vocabulary
+
+    tables = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels", "benchmark")}
+    rows = tables["documents"].where("n_chars < 3000").limit(250).collect()
+    bad = [r["text"] for r in tables["benchmark"].where("length(text) > 60").limit(3).collect()]
+    texts = {r["doc_id"]: r["text"] for r in rows}
+    top = 10 + max(i for i in texts if i is not None)
+    texts |= {top + i: t for i, t in enumerate(list(texts.values())[:20])}  # copies
+    texts |= {top + 100 + i: b for i, b in enumerate(bad)}
+    texts |= {top + 200: "the password = hunter2hunter2 is here", top + 201: None, top + 202: ""}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        tables[t].write.parquet(f"{tmp_path}/{t}.parquet")
+
+    score = toxicity.train(docs, tables["labels"]).scorer()
+    left = {i: t for i, t in texts.items() if score(t or "") < 0.5}
+    prints = dict(zip(left, simhash_dedup.fingerprints([(t or "").encode() for t in left.values()]).tolist()))
+    root = {i: i for i in left}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for a, b in itertools.combinations(sorted(left), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 3:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    left = {i: t for i, t in left.items() if find(i) == i}
+    words = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w]
+    windows = set()
+    for r in tables["benchmark"].collect():
+        w = words(r["text"])
+        windows |= {tuple(w[i : i + 13]) for i in range(max(1, len(w) - 12))} if w else set()
+    sizes = {len(w) for w in windows}
+
+    def dirty(text):
+        w, hit = words(text), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in windows:
+                    hit |= set(range(i, i + n))
+        return bool(hit) and 20 * len(hit) >= len(w)
+
+    assert any(dirty(t) for t in left.values())
+    left = {i: t for i, t in left.items() if not dirty(t)}
+    v = vocabulary()
+    clean = {r["doc_id"]: r["text"] or "" for r in secret_scan.redact(docs.where(docs.doc_id.isin(list(left))), v["ranks"], v["pattern"]).collect()}
+    assert top + 200 not in clean or "hunter2" not in clean[top + 200]
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: t.encode(x, add_special_tokens=False).ids + [0] for i, x in clean.items()}
+
+    found = defaultdict(list)
+    for r in p.run(spark, str(tmp_path)).collect():
+        found[r["doc_id"]].append(r)
+    assert found.keys() == left.keys() and len(left) < len(texts)
+    for i, pieces in found.items():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["start"]):
+            assert (r["start"], r["doc_tokens"]) == (at, len(ids[i]))
+            part = np.array(ids[i][at : at + r["length"]], dtype="<u4")
+            assert r["ids_crc32"] == zlib.crc32(part.tobytes())
+            at += r["length"]
+        assert at == len(ids[i])
