@@ -30,8 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group by op7's rule (at most three of 64 bits), which finds few of
-    the pairs with a five-word similarity of 0.8: recall in the README.
+    """The document with the smallest doc_id of each group by op7's rule: three-word shingles, at most three of 64 bits.
 
     A document is a doc_id and a text: one that repeats stays once, texts that share a doc_id are judged apart. Rows
     without a doc_id stay."""
@@ -77,14 +76,17 @@ STAGES = [
     ("secrets", mask_secrets),
     ("packing", pack),
 ]
-# The trained classifier and the tokenizer are beyond SQL. Tests hold the operators against brute force; of the stages they
-# check planted rows of near-duplicates and decontamination, columns and counts. run() as a whole has no such test.
+# The trained classifier and the tokenizer are beyond SQL. Tests hold the operators against brute force, and run() against
+# plain Python over all pairs and windows.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over the documents of the folder."""
-    docs, kept = table(spark, sf_dir, "documents"), Kept(spark, "pipeline")
+    """All stages, one after the other, over the documents of the folder. A stage's rows go once the next has read them."""
+    docs, kept, before = table(spark, sf_dir, "documents"), Kept(spark, "pipeline"), None
     for name, stage in STAGES:
         docs = kept.keep(stage(spark, docs, sf_dir), name)
+        if before:
+            kept.drop(before)
+        before = name
     return docs
