@@ -79,10 +79,20 @@ def active_users(records: DataFrame, window: str = "10 seconds") -> DataFrame:
     return count_users(user_windows(records, window))
 
 
-def approx_active_users(records: DataFrame, window: str = "10 seconds", rsd: float = 0.02) -> DataFrame:
-    """The count within about ``rsd``, from one small sketch per interval instead of a row per user."""
+def user_sketches(records: DataFrame, window: str = "10 seconds", lg_config: int = 12) -> DataFrame:
+    """One sketch of the users per interval, of a few kilobytes however many they are; for tables and append streams.
+
+    Up to some hundred users a sketch is exact; beyond, its standard error is 0.83 / sqrt(2^lg_config), 1.3 % by default.
+    """
     return (
         records.groupBy(F.window("event_ts", window).alias("w"))
-        .agg(F.approx_count_distinct("user_id", rsd).alias("active_users"))
-        .select(F.col("w.start").alias("window_start"), "active_users")
+        .agg(F.hll_sketch_agg("user_id", lg_config).alias("users"))
+        .select(F.col("w.start").alias("window_start"), "users")
     )
+
+
+def count_sketched_users(sketches: DataFrame, window: str | None = None) -> DataFrame:
+    """Different users per interval of the sketches, or per longer ``window``: a user of several intervals counts once."""
+    start = F.col("window_start") if window is None else F.window("window_start", window)["start"]
+    merged = sketches.groupBy(start.alias("window_start")).agg(F.hll_union_agg("users").alias("users"))
+    return merged.select("window_start", F.hll_sketch_estimate("users").alias("active_users"))

@@ -266,3 +266,7 @@ WHERE user_id NOT IN (SELECT user_id FROM blacklist)""",
     "stream_active_users": ACTIVE,
 }
 ORACLE["monitor_5min_cars_incremental"] = ORACLE["monitor_5min_cars"]
+ORACLE["stream_user_sketches"] = f"SELECT *, true AS within_2_percent FROM ({ACTIVE})"
+ORACLE["active_users_sketched"] = f"""WITH {CLICKS}
+SELECT strftime(ts, '%Y-%m-%d 00:00:00') AS window_start, count(DISTINCT user_id) AS active_users, true AS within_2_percent
+FROM clicks WHERE user_id NOT IN (SELECT user_id FROM blacklist) GROUP BY 1"""

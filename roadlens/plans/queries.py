@@ -379,6 +379,26 @@ def active_users(spark, d):
     return clicks.active_users(kept, HOUR).select(_time_text("window_start"), "active_users")
 
 
+def _exact_users(spark, d, window):
+    records = clicks.without_blacklisted(inputs.clicks(spark, d), inputs.blacklist(spark, d))
+    return clicks.active_users(records, window)
+
+
+def _within(sketched, exact):
+    """Exact counts, and whether the sketches are within two in a hundred of them."""
+    both = exact.join(sketched.withColumnRenamed("active_users", "estimate"), "window_start")
+    near = F.abs(F.col("estimate") - F.col("active_users")) * 50 <= F.col("active_users")
+    return both.select(_time_text("window_start"), "active_users", near.alias("within_2_percent"))
+
+
+@query
+def active_users_sketched(spark, d):
+    """Users per day from sketches per hour."""
+    records = clicks.without_blacklisted(inputs.clicks(spark, d), inputs.blacklist(spark, d))
+    days = clicks.count_sketched_users(clicks.user_sketches(records, HOUR), "1 day")
+    return _within(days, _exact_users(spark, d, "1 day"))
+
+
 # --- streams: each replays the whole events table, waits for the end, and reads what was written
 
 
@@ -486,3 +506,13 @@ def stream_active_users(spark, d):
         )
     )
     return clicks.count_users(run.read("out")).select(_time_text("window_start"), "active_users")
+
+
+@query
+def stream_user_sketches(spark, d):
+    run = _Run(spark, d)
+    records, listed = inputs.clicks_of(run.events()), inputs.blacklist(spark, d)
+    run.close(
+        lambda: click_stream.start_user_sketches(records, run.path("out"), run.path("cp"), HOUR, HOUR, blacklist=listed)
+    )
+    return _within(clicks.count_sketched_users(run.read("out")), _exact_users(spark, d, HOUR))

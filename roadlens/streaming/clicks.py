@@ -133,3 +133,17 @@ def start_active_users(
         store.put(ops.without_blacklisted(batch, listed).select(*batch.columns), path, batch_id)
 
     return per_batch(rows, keep, checkpoint, trigger=trigger)
+
+
+def start_user_sketches(
+    records: DataFrame, path: str, checkpoint: str, window: str = "10 seconds", delay: str = "1 minute",
+    trigger: dict = ONCE, blacklist: DataFrame | None = None,
+) -> StreamingQuery:
+    """Append one sketch of the users per interval; the state has a row per interval and not per user.
+
+    ``operators.clicks.count_sketched_users`` counts them, also over longer windows. A blacklist is as of the start.
+    """
+    rows = records.withWatermark("event_ts", delay)
+    if blacklist is not None:
+        rows = ops.without_blacklisted(rows, blacklist)
+    return to_files(ops.user_sketches(rows, window), path, checkpoint, trigger)

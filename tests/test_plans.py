@@ -91,3 +91,45 @@ def test_date_range_prunes_partitions(spark, folder, tmp_path):
     scan = next(line for line in text.splitlines() if "FileScan" in line)
     assert "PartitionFilters: [isnotnull(date" in scan and "ReadSchema: struct<monitor_id:string>" in scan
     assert days.count() == by_date(inputs.passages(spark, folder), "2024-01-05", "2024-01-06").count()
+
+
+def test_monitor_flow_reads_the_fact_three_times(spark, folder, tmp_path, monkeypatch):
+    """One pass counts for all four results; two of them read the passages they list."""
+    from roadlens.plans import inputs, jobs
+    from roadlens.sinks import store
+    from roadlens.sources.tasks import JobParams
+
+    path = str(tmp_path / "fact")
+    inputs.passages(spark, folder).withColumnRenamed("event_id", "only_in_the_fact").write.parquet(path)
+    plans, staged = [], store.staged
+
+    def seen(df, name):
+        plans.append(plan(df, "optimizedPlan"))
+        return staged(df, name)
+
+    monkeypatch.setattr(store, "staged", seen)
+    params = JobParams(1, "2024-01-01", "2024-12-31", top_num=3)
+    results = jobs.monitor_flow(spark.read.parquet(path), inputs.roster(spark, folder), params)
+    plans += [plan(df, "optimizedPlan") for df in results.values()]
+    assert sum("only_in_the_fact" in line and "Relation" in line for text in plans for line in text.splitlines()) == 3
+
+
+def test_passages_that_meet_no_wanted_car_leave_before_the_shuffle(spark, folder, without_broadcast):
+    text = plan(QUERIES["companion_pairs"](spark, folder))
+    shuffle = text.index("Exchange hashpartitioning(monitor_id")
+    assert "BroadcastHashJoin [cell#" in text[shuffle:] and "LeftSemi, BuildRight" in text[shuffle:]
+
+
+def test_offsets_of_a_hot_key_run_over_days_and_over_seconds(spark):
+    """Ten years of one key: no window of the two levels has all its seconds."""
+    from pyspark.sql import functions as F
+
+    from roadlens.operators.ordering import slice_offsets
+
+    rows = spark.range(200_000).selectExpr("'hot' k", "pmod(xxhash64(id), 315360000) second")
+    span = F.floor(F.col("second") / 86400)
+    two, one = slice_offsets(rows, ["k"], F.col("second"), span), slice_offsets(rows, ["k"], F.col("second"))
+    assert two.exceptAll(one).count() == 0 and two.count() == one.count()
+    text = plan(two, "optimizedPlan")
+    assert text.count("Window [") == 2 and "windowspecdefinition(_span#" in text.replace("(_span.k", "(_key")
+    assert rows.groupBy(span.alias("d")).agg(F.count_distinct("second").alias("n")).agg(F.max("n")).first()[0] <= 86400

@@ -192,7 +192,24 @@ def test_active_users(spark, tmp_path, feed):
     by_second = lambda df: {r.window_start.second: r.active_users for r in df.collect()}
     assert by_second(ops.count_users(spark.read.parquet(out))) == {0: 2, 10: 1}
     table = spark.read.schema(CLICK_SCHEMA).parquet(feed.path).where("user_id <> 'w'")
-    assert by_second(ops.active_users(table)) == by_second(ops.approx_active_users(table)) == {0: 2, 10: 1}
+    assert by_second(ops.active_users(table)) == by_second(ops.count_sketched_users(ops.user_sketches(table))) == {0: 2, 10: 1}
+
+
+def test_user_sketches_have_a_state_row_per_interval(spark, tmp_path, feed):
+    feed.add([click(spark, f"10:00:{s:02}", f"u{i}") for s in (1, 11) for i in range(200)])
+    feed.add([click(spark, "10:05:00", "w")])
+    query = clicks.start_user_sketches(feed.stream(), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 3
+    sketches = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.active_users for r in ops.count_sketched_users(sketches).collect()) == [200, 200]
+    assert [r.active_users for r in ops.count_sketched_users(sketches, "1 minute").collect()] == [200]
+
+
+def test_a_large_sketch_is_near(spark):
+    users = spark.range(60000).selectExpr("timestamp'2024-01-05 10:00:00' event_ts", "cast(id % 40000 as string) user_id")
+    n = ops.count_sketched_users(ops.user_sketches(users, lg_config=14)).first().active_users
+    assert abs(n - 40000) <= 800
 
 
 @pytest.fixture()
