@@ -1,7 +1,7 @@
 """Languages of a text as a mixture, whose proportions expectation-maximisation estimates from n-gram likelihoods.
 
-Training counts character trigrams per language over all training documents, hashed to 2^16 cells, so the model has a
-fixed size per language. A text is taken as drawn from a mixture of the languages; EM estimates the proportions, and
+Training counts character trigrams per language over all training documents, hashed to 2^16 cells, or fewer where there
+are more than 64 languages, so the model has a fixed size whatever ``lang`` holds. A text is taken as drawn from a mixture of the languages; EM estimates the proportions, and
 the set of languages is the one with the highest likelihood less a penalty per language. The language with the largest
 proportion in that set is the prediction.
 """
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from roadlens.llm.shared import chunks, in_fold, texts
 
 CELLS = 1 << 16
+#: Numbers in a model: the cells of all languages.
+MODEL = 1 << 22
 PENALTY = 5.0
 _FLUSH = 64
 
@@ -61,10 +63,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(documents: DataFrame, fold: Column | None = None, alpha: float = 0.01) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the log-likelihood of each cell under each. All rows with a lang outside the fold count."""
     usable = F.col("lang").isNotNull() & (F.lit(True) if fold is None else ~fold)
-    counts = documents.where(usable).select("lang", "text").mapInArrow(_counted, "lang string, cell int, n long")
-    table = counts.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()  # at most CELLS rows a language
+    rows = documents.where(usable).select("lang", "text")
+    number, size = rows.agg(F.count_distinct("lang")).first()[0], CELLS
+    while size > 1 and size * number > MODEL:
+        size //= 2
+    counts = rows.mapInArrow(_counted, "lang string, cell int, n long")
+    cell = F.shiftright("cell", (CELLS // size).bit_length() - 1).alias("cell")
+    table = counts.groupBy("lang", cell).agg(F.sum("n").alias("n")).toPandas()  # at most MODEL rows
     names = sorted(table["lang"].unique())
-    n = np.full((len(names), CELLS), alpha)
+    n = np.full((len(names), size), alpha)
     np.add.at(n, (table["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(dtype=int), table["cell"].to_numpy()), table["n"])
     return names, np.log(n) - np.log(n.sum(axis=1, keepdims=True)) if names else n
 
@@ -85,8 +92,10 @@ def _mixture(likelihood: np.ndarray, counts: np.ndarray, rounds: int = 30) -> tu
 
 def languages(text: str, logs: np.ndarray, penalty: float = PENALTY) -> dict[int, float]:
     """The selected languages and their proportions: by proportion, languages join while the gain beats the penalty."""
-    found = np.sort(cells(text), kind="stable")
-    if not len(found) or not len(logs):
+    if not len(logs):
+        return {}
+    found = np.sort(cells(text) // np.uint32(CELLS // logs.shape[1]), kind="stable")
+    if not len(found):
         return {}
     edge = np.flatnonzero(np.diff(found)) + 1
     distinct = found[np.concatenate([[0], edge])]

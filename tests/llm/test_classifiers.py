@@ -140,3 +140,48 @@ def test_texts_without_letters_have_no_language(tables, docs_of, none):
     assert [(r["lang_pred"], r["score"]) for r in rows] == [("und", 0.0)] * 4
     assert language_id.language(none).count() == 0
     assert {r["lang_pred"] for r in language_id.language(docs_of([(1, "text")])).collect()} == {"und"}
+
+
+def test_the_language_set_is_the_best_of_all_subsets():
+    """Mixtures of three languages by plain expectation-maximisation, for every subset."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(1)
+    letters = "abcdefghij"
+    weights = {i: rng.dirichlet(np.full(10, 0.3)) for i in range(3)}
+    write = lambda i, n: "".join(rng.choice(list(letters), size=n, p=weights[i]))
+    counts = np.full((3, language_id.CELLS), 0.01)
+    for i in range(3):
+        np.add.at(counts[i], language_id.cells(write(i, 30000)), 1)
+    logs = np.log(counts) - np.log(counts.sum(axis=1, keepdims=True))
+
+    def value(found, subset):
+        share = {i: 1 / len(subset) for i in subset}
+        for _ in range(400):
+            parts = {i: 0.0 for i in subset}
+            for c in found:
+                p = {i: share[i] * math.exp(logs[i][c]) for i in subset}
+                for i in subset:
+                    parts[i] += p[i] / sum(p.values())
+            share = {i: parts[i] / len(found) for i in subset}
+        return sum(math.log(sum(share[i] * math.exp(logs[i][c]) for i in subset)) for c in found), share
+
+    for mix in ([0], [1, 2], [0, 1], [0, 1, 2], [2]):
+        text = " ".join(write(i, 240) for i in mix)
+        found = language_id.cells(text).tolist()
+        cost = language_id.PENALTY * math.log(len(found) + 1)
+        every = [s for k in (1, 2, 3) for s in combinations(range(3), k)]
+        scored = {s: value(found, s) for s in every}
+        best = max(every, key=lambda s: scored[s][0] - cost * len(s))
+        got = language_id.languages(text, logs)
+        assert tuple(sorted(got)) == best == tuple(mix)
+        assert all(abs(got[i] - scored[best][1][i]) < 0.02 for i in best)
+
+
+def test_many_languages_share_a_model_of_fixed_size(spark):
+    """Free text in lang: the cells of all languages are bounded, and few languages keep them all."""
+    docs = spark.range(3000).selectExpr("id doc_id", "concat('x', id % 300) lang", "repeat(concat(chr(97 + int(id % 20)), 'bc '), 30) text")
+    names, logs = language_id.train(docs)
+    assert len(names) == 300 and logs.size <= language_id.MODEL and logs.shape[1] == 1 << 13
+    rows = language_id.predict(docs.where("doc_id < 300"), (names, logs)).collect()
+    assert sum(int(r["lang_pred"][1:]) % 20 == r["doc_id"] % 20 for r in rows) > 290

@@ -117,3 +117,30 @@ def test_what_a_base_span_leaves_of_a_string_is_judged(docs_of):
     ]
     masked = secret_scan.redact(docs_of([(1, texts[0])]), V["ranks"], V["pattern"]).first()["text"]
     assert masked == "[ACCESS][RANDOM]"
+
+
+def test_random_strings_by_length_and_alphabet():
+    """From 20 characters on, of six alphabets, nearly all are found; words in the form of identifiers are not."""
+    import random
+    import string
+
+    from roadlens.llm import secret_scan as ss
+    from roadlens.llm.queries import vocabulary
+
+    v = vocabulary()
+    encode = ss.encoder(v["ranks"], v["pattern"]).encode_ordinary
+    alnum = string.ascii_letters + string.digits
+    alphabets = [alnum, alnum + "+/", alnum + "_-", string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits, string.ascii_letters]
+    rng = random.Random(1)
+    for alphabet in alphabets:
+        for n in (20, 24, 32, 40):
+            found = 0
+            for _ in range(200):
+                text = "key " + "".join(rng.choice(alphabet) for _ in range(n)) + " end"
+                spans = ss._spans(text, encode)
+                found += any(s <= 6 and e >= n + 2 for s, e, _ in spans) or sum(e - s for s, e, _ in spans) > n // 2
+            assert found >= 190, (alphabet, n, found)
+    words = "customer account balance transaction history service request response handler controller default value update".split()
+    for _ in range(500):
+        name = rng.choice("_-/").join(rng.choice(words) for _ in range(4))
+        assert not ss._spans(f"call {name} now", encode)
