@@ -160,6 +160,26 @@ class Log:
             self.fs.delete(self._at(f"data/{name}"), True)
         return len(left)
 
+    def seen_by(self, reader: str, batch: int) -> Commit:
+        """The commit a reader's batch goes by: the last one when the batch first ran, also if it runs again.
+
+        An empty file in the reader's folder is named after both before the batch reads a row. Where the log has moved on
+        by more than ``KEEP`` commits since, that commit is gone and the last one serves.
+        """
+        folder = self.hadoop.Path(f"{reader.rstrip('/')}/_seen")
+        fs = folder.getFileSystem(self.conf)
+        seen = [s.getPath().getName().split("-") for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        for at, number in seen:
+            if int(at) == batch:
+                return self.commit_at(int(number)) if int(number) in self._numbers() else self.last()
+        last = self.last()
+        if last.number >= 0:
+            fs.create(self.hadoop.Path(folder, f"{batch}-{last.number}"), True).close()
+        for at, number in seen:  # only the last batch runs again
+            if int(at) < batch - 1:
+                fs.delete(self.hadoop.Path(folder, f"{at}-{number}"), False)
+        return last
+
     # --- rows
 
     def write(self, name: str, rows: DataFrame) -> str | None:

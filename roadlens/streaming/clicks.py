@@ -53,13 +53,19 @@ def blacklist(spark: SparkSession, path: str) -> DataFrame:
     return click_log(spark, path).read("users")
 
 
+def _listed(batch: DataFrame, blacklist_path: str, reader: str, batch_id: int) -> DataFrame:
+    """The users listed when a reader's batch first ran."""
+    log = click_log(batch.sparkSession, blacklist_path)
+    return log.read("users", log.seen_by(reader, batch_id))
+
+
 def start_filter(records: DataFrame, blacklist_path: str, path: str, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
-    """Records of users that are not listed. The blacklist is read again for every batch."""
+    """Records of users that are not listed. Every batch takes the blacklist as it is then, also if it runs again."""
     store.create(records.sparkSession, path, records.schema)
     store.claim(records.sparkSession, path, checkpoint)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        listed = blacklist(batch.sparkSession, blacklist_path)
+        listed = _listed(batch, blacklist_path, path, batch_id)
         store.put(ops.without_blacklisted(batch, listed).select(*batch.columns), path, batch_id)
 
     return per_batch(records, keep, checkpoint, trigger=trigger)
@@ -129,7 +135,7 @@ def start_active_users(
     store.claim(records.sparkSession, path, checkpoint)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        listed = blacklist(batch.sparkSession, blacklist_path)
+        listed = _listed(batch, blacklist_path, path, batch_id)
         store.put(ops.without_blacklisted(batch, listed).select(*batch.columns), path, batch_id)
 
     return per_batch(rows, keep, checkpoint, trigger=trigger)

@@ -168,6 +168,36 @@ def test_a_batch_killed_before_its_commit_is_made_up_for(spark, tmp_path, monkey
     assert [r.user_id for r in clicks.blacklist(spark, str(tmp_path / "log")).collect()] == ["u"]
 
 
+def test_a_batch_run_again_sees_the_list_it_saw(spark, tmp_path, monkeypatch):
+    from roadlens.sinks import store
+
+    records = spark.createDataFrame([("u",), ("v",)], "user_id string")
+    records.coalesce(1).write.parquet(str(tmp_path / "in"))
+    listed, out, put = str(tmp_path / "listed"), str(tmp_path / "out"), store.put
+    users = lambda *names: spark.createDataFrame([(n,) for n in names], "user_id string")
+    clicks.create_blacklist(spark, listed, users("x"))
+
+    def run():
+        rows = spark.readStream.schema(records.schema).parquet(str(tmp_path / "in"))
+        clicks.start_filter(rows, listed, out, str(tmp_path / "cp")).awaitTermination()
+
+    def killed(rows, path, batch):
+        put(rows.limit(1), path, batch)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(store, "put", killed)
+    with pytest.raises(Exception, match="killed"):
+        run()
+    monkeypatch.setattr(store, "put", put)
+    clicks.add_to_blacklist(spark, listed, users("u"))
+    run()
+    found = lambda: sorted(r.user_id for r in store.read_all(spark, out, records.schema).collect())
+    assert found() == ["u", "v"]
+    records.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    assert found() == ["u", "v", "v"]
+
+
 # --- panes
 
 
