@@ -28,6 +28,8 @@ from roadlens.llm.shared import Kept, chunks, utf8
 
 BITS_APART = 3
 SHINGLE = 3
+#: Sets of more fingerprints under one key are cut once more before they are compared.
+LARGE = 2048
 # The generator polynomial of the code, and where the segments begin and how long they are.
 GENERATOR = 0b101011100011
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -136,7 +138,25 @@ def keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def forest(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b) that span the connected parts of a set of distinct fingerprints."""
+    """Links (a, b) that connect what is linked in a set of distinct fingerprints.
+
+    A large set is cut once more: of four blocks of 16 bits, two linked fingerprints have one in common, so the sets of
+    one value of one block hold all links between them.
+    """
+    if len(fp) <= LARGE:
+        return _forest(fp)
+    found = [_forest(fp[:0])]
+    for at in range(0, 64, 16):
+        block = ((fp >> np.uint64(at)) & np.uint64(0xFFFF)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        for part in np.split(fp[order], np.flatnonzero(np.diff(block[order])) + 1):
+            if len(part) > 1:
+                found.append(_forest(part))
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
+def _forest(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the connected parts, by comparing what is not yet connected with what is."""
     a, b = [], []
     left = fp
     while len(left):

@@ -91,3 +91,35 @@ def test_chain_of_links_is_one_component(spark, tmp_path):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
     got = {r["node"]: r["root"] for r in sd.components(edges, Kept(spark, "test")).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, 1001: 1000}
+
+
+def test_a_large_set_under_one_key_is_cut_and_keeps_its_links(monkeypatch):
+    rng = np.random.default_rng(3)
+    near = [rng.integers(0, 2**63, dtype=np.uint64) for _ in range(40)]
+    fp = {int(c) for c in near}
+    for _ in range(900):
+        c = int(rng.choice(list(fp)))
+        for bit in rng.choice(64, size=rng.integers(1, 5), replace=False):
+            c ^= 1 << int(bit)
+        fp.add(c)
+    fp = np.array(sorted(fp), dtype=np.uint64)
+
+    def parts(a, b):
+        root = {int(x): int(x) for x in fp}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist()):
+            assert (x ^ y).bit_count() <= 3
+            root[find(x)] = find(y)
+        groups = {}
+        for x in root:
+            groups.setdefault(find(x), set()).add(x)
+        return sorted(map(sorted, groups.values()))
+
+    whole = parts(*sd.forest(fp))
+    monkeypatch.setattr(sd, "LARGE", 10)
+    assert parts(*sd.forest(fp)) == whole and 1 < len(whole) < len(fp)
