@@ -1,4 +1,5 @@
 """Run a job. Batch: python -m roadlens JOB --task-id N --tasks … --passages … --out …
+Store the fact by day: python -m roadlens store-passages --passages … --out …
 Stream: python -m roadlens JOB --lines FOLDER (or --servers … --topics …) --out … --checkpoint … [--every "10 seconds"]"""
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.plans import jobs
 from roadlens.session import configure
-from roadlens.sinks.tables import jdbc_saver, path_saver
+from roadlens.sinks.tables import jdbc_saver, path_saver, table_saver, write_partitioned
 from roadlens.sources.streams import read_kafka
 from roadlens.sources.tables import read_jdbc, read_passages, read_roster, read_table
 from roadlens.sources.tasks import load_params
@@ -40,6 +41,7 @@ def stream(argv: list[str]) -> None:
     parser.add_argument("--watchlist", help="stream-roads: text file of wanted plates")
     parser.add_argument("--blacklist", help="stream-clicks, stream-users: store of the listed users")
     parser.add_argument("--threshold", type=int, default=50, help="stream-clicks: clicks above which a user is listed")
+    parser.add_argument("--print", action="store_true", help="stream-roads: print the windows as well")
     args = parser.parse_args(argv)
     if args.job != "stream-roads" and not args.blacklist:
         parser.error(f"{args.job} needs --blacklist")
@@ -52,7 +54,7 @@ def stream(argv: list[str]) -> None:
         lines = read_kafka(spark, args.servers, args.topics.split(","), **more)
     trigger = {"processingTime": args.every} if args.every else ONCE
     if args.job == "stream-roads":
-        started = stream_jobs.roads(lines, args.out, args.checkpoint, args.watchlist, trigger)
+        started = stream_jobs.roads(lines, args.out, args.checkpoint, args.watchlist, trigger, args.print)
     elif args.job == "stream-clicks":
         started = stream_jobs.ad_clicks(lines, args.out, args.checkpoint, args.blacklist, args.threshold, trigger)
     else:
@@ -63,10 +65,22 @@ def stream(argv: list[str]) -> None:
         query.awaitTermination()
 
 
+def store_passages(argv: list[str]) -> None:
+    parser = argparse.ArgumentParser(prog="roadlens store-passages")
+    parser.add_argument("--passages", required=True, help="table or path")
+    parser.add_argument("--format", default="parquet", help="format of the files of a path")
+    parser.add_argument("--out", required=True, help="folder of the fact, partitioned by day")
+    args = parser.parse_args(argv)
+    spark = configure(SparkSession.builder.appName("roadlens store-passages").getOrCreate())
+    write_partitioned(read_passages(spark, args.passages, args.format), args.out)
+
+
 def main(argv: list[str] | None = None) -> None:
     argv = sys.argv[1:] if argv is None else argv
     if argv and argv[0] in STREAM_JOBS:
         return stream(argv)
+    if argv and argv[0] == "store-passages":
+        return store_passages(argv[1:])
     parser = argparse.ArgumentParser(prog="roadlens", description=__doc__)
     parser.add_argument("job", choices=JOBS, help=f"or a stream job: {', '.join(STREAM_JOBS)}")
     parser.add_argument("--task-id", type=int, required=True)
@@ -81,6 +95,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lists", help="with-the-car: folder of the five-minute lists that runs of a task add to")
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--out", help="folder for the results")
+    target.add_argument("--database", help="database of managed tables for the results")
     target.add_argument("--jdbc-url", help="database for the results; the password comes from ROADLENS_JDBC_PASSWORD")
     parser.add_argument("--jdbc-user")
     args = parser.parse_args(argv)
@@ -106,6 +121,8 @@ def main(argv: list[str] | None = None) -> None:
         results = jobs.convert_rate(passages, params)
     if args.jdbc_url:
         save = jdbc_saver(args.jdbc_url, args.jdbc_user, os.environ.get("ROADLENS_JDBC_PASSWORD"))
+    elif args.database:
+        save = table_saver(args.database)
     else:
         save = path_saver(args.out)
     jobs.run(results, args.task_id, save)

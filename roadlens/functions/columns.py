@@ -149,11 +149,6 @@ def speed_band(c: Column | str) -> Column:
     return expr
 
 
-def half_up(c: Column | str, digits: int) -> Column:
-    """Round half up on the decimal digits of a number."""
-    return F.round(_col(c).cast("decimal(38,18)"), digits).cast("double")
-
-
 def unit_half_up(c: Column | str) -> Column:
     """Two digits, half up, of a double between 0 and 1, decided on its exact binary value.
 

@@ -40,6 +40,11 @@ def replace_table(result: DataFrame, table: str) -> None:
     result.write.mode("overwrite").saveAsTable(table)
 
 
+def table_saver(database: str) -> Save:
+    """Save each result as a managed table of its name, which replaces the one of an earlier run."""
+    return lambda name, task_id, df: replace_table(for_task(df, task_id), f"{database}.{name}")
+
+
 def write_partitioned(passages: DataFrame, path: str, max_rows_per_file: int = 5_000_000) -> None:
     """Write the fact partitioned by day, so that date ranges read only their days."""
     passages.write.mode("overwrite").partitionBy("date").option("maxRecordsPerFile", max_rows_per_file).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roadlens.sources.streams import parse_active_users, parse_clicks, parse_passages
 from roadlens.streaming import clicks, road
-from roadlens.streaming.common import ONCE
+from roadlens.streaming.common import ONCE, to_console
 
 
 def read_text_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -18,13 +18,16 @@ def read_text_lines(spark: SparkSession, path: str, **options: str) -> DataFrame
 
 
 def roads(
-    lines: DataFrame, out: str, checkpoint: str, watchlist: str | None = None, trigger: dict = ONCE
+    lines: DataFrame, out: str, checkpoint: str, watchlist: str | None = None, trigger: dict = ONCE, show: bool = False
 ) -> list[StreamingQuery]:
-    """Road state, and with a watch-list the passages of wanted plates."""
+    """Road state, and with a watch-list the passages of wanted plates. ``show`` prints the windows as well."""
     passages = parse_passages(lines)
     started = [road.start_road_state(passages, f"{out}/road_state", f"{checkpoint}/road_state", trigger=trigger)]
     if watchlist:
         started.append(road.start_watchlist(passages, watchlist, f"{out}/wanted", f"{checkpoint}/wanted", trigger))
+    if show:
+        state = road.road_state(passages.withWatermark("event_ts", "1 minute"))
+        started.append(to_console(state, f"{checkpoint}/console", trigger=trigger))
     return started
 
 

@@ -64,10 +64,6 @@ def test_unit_half_up_is_exact(spark):
     assert values(spark, c.unit_half_up, ratios, "double") == want
 
 
-def test_half_up(spark):
-    assert values(spark, lambda v: c.half_up(v, 2), [0.125, 0.1249, 2.5], "double") == [0.13, 0.12, 2.5]
-
-
 def test_first_param(spark):
     docs = ['{"startDate":["a","b"],"cars":[]}', "{}", None]
     assert values(spark, lambda v: c.first_element(c.params_map(v), "startDate"), docs) == ["a", None, None]

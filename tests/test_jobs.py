@@ -77,6 +77,32 @@ def test_command_line(spark, data, tmp_path):
     assert saved(spark, f"{tmp_path}/out/random-extract/car_track").count() > 0
 
 
+def test_lists_of_several_runs_and_managed_tables_from_the_command_line(spark, data, tmp_path):
+    """The fact is stored by day; two runs of a task over other days add to one set of lists; tables are replaced."""
+    passages, _, areas = data
+    passages.write.json(f"{tmp_path}/raw")
+    main(["store-passages", "--passages", f"{tmp_path}/raw", "--format", "json", "--out", f"{tmp_path}/fact"])
+    task = lambda i, a, b: (i, "", "", "", "", "", "", f'{{"startDate":["{a}"],"endDate":["{b}"]}}')
+    for i, days in enumerate([("2024-01-05", "2024-01-06"), ("2024-01-07", "2024-01-09"), ("2024-01-05", "2024-01-09")]):
+        spark.createDataFrame([task(3 if i < 2 else 4, *days)], TASKS).write.parquet(f"{tmp_path}/task{i}")
+        main([
+            "with-the-car", "--task-id", "3" if i < 2 else "4", "--tasks", f"{tmp_path}/task{i}", "--passages", f"{tmp_path}/fact",
+            "--lists", f"{tmp_path}/lists", "--out", f"{tmp_path}/out",
+        ])
+    lists = saved(spark, f"{tmp_path}/out/monitor_range_time_car")
+    two, one = (lists.where(f"task_id = {i}").drop("task_id") for i in (3, 4))
+    assert two.exceptAll(one).count() == 0 and one.exceptAll(two).count() == 0 and one.count() > 100
+    areas.write.parquet(f"{tmp_path}/areas")
+    spark.sql("CREATE DATABASE IF NOT EXISTS result")
+    for _ in range(2):
+        main([
+            "area-top3", "--task-id", "4", "--tasks", f"{tmp_path}/task2", "--passages", f"{tmp_path}/fact", "--areas", f"{tmp_path}/areas",
+            "--database", "result",
+        ])
+    assert spark.table("result.areaTop3Road").count() == 21
+    spark.sql("DROP DATABASE result CASCADE")
+
+
 def test_saving_again_replaces_only_that_task(spark, tmp_path):
     save = tables.path_saver(str(tmp_path))
     for task, n in [(1, 3), (2, 4), (3, 6), (1, 5), (3, 0)]:

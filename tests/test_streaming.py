@@ -338,7 +338,7 @@ def test_stream_jobs_from_the_command_line(spark, tmp_path, stream_settings):
     put("roads2", 1, line("C", "m", "10:09:00", "60")[0])
     (tmp_path / "wanted").write_text("B\n")
     for _ in range(2):  # a pass first raises the watermark, the next gives out what it has passed
-        run("stream-roads", "--watchlist", str(tmp_path / "wanted"), "--option", "pathGlobFilter=roads*")
+        run("stream-roads", "--watchlist", str(tmp_path / "wanted"), "--print", "--option", "pathGlobFilter=roads*")
     assert {(r.speed_sum, r.car_count) for r in read("road_state").collect()} == {(140, 2)}
     assert [r.car for r in read("wanted").collect()] == ["B"]
 
