@@ -28,15 +28,16 @@ def _slice(seconds: int = SLICE_SECONDS) -> Column:
     return F.floor(F.col("event_sec") / seconds)
 
 
-def _day() -> Column:
-    return F.floor(F.col("event_sec") / 86400)
+def _span(seconds: int = SLICE_SECONDS) -> Column:
+    """So many slices in a row: the seconds of a day."""
+    return F.floor(_slice(seconds) / 86400)
 
 
 def in_car_order(
     passages: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
     """Number each car's passages by time; equal times go by the tie columns. A hot car is sliced by the second."""
-    return number_within(_timed(passages, tie), ["car"], ["event_sec", *tie], _slice(slice_seconds), hot_rows, _day())
+    return number_within(_timed(passages, tie), ["car"], ["event_sec", *tie], _slice(slice_seconds), hot_rows, _span(slice_seconds))
 
 
 def car_track(
@@ -45,7 +46,7 @@ def car_track(
     """The checkpoints each car passed, 'm1,m2,…' in time order, with the date of the last of them."""
     return ordered_lists(
         _timed(passages, tie, "date"), ["car"], ["event_sec", *tie], _slice(), F.col("monitor_id"), ",", "track",
-        last="date", hot_rows=hot_rows, part_rows=part_rows, span=_day(),
+        last="date", hot_rows=hot_rows, part_rows=part_rows, span=_span(),
     )
 
 
@@ -56,7 +57,7 @@ def car_track_times(
     item = F.concat("monitor_id", F.lit("="), "action_time")
     return ordered_lists(
         _timed(passages, tie, "action_time"), ["car"], ["event_sec", *tie], _slice(), item, "|", "track",
-        hot_rows=hot_rows, part_rows=part_rows, span=_day(),
+        hot_rows=hot_rows, part_rows=part_rows, span=_span(),
     )
 
 
@@ -82,7 +83,7 @@ def cars_per_range(
     order, item = ["event_sec", "car", *tie], F.concat("car", F.lit("="), "action_time")
     return ordered_lists(
         visits, ["monitor_id", "range_time"], order, _slice(), item, "|", "cars", hot_rows=hot_rows, part_rows=part_rows,
-        span=_day(),
+        span=_span(),
     )
 
 
