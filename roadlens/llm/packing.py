@@ -9,8 +9,9 @@ over those with room. So a group leaves less than one sequence of padding, and a
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -25,29 +26,12 @@ from roadlens.llm.shared import Kept, chunks, texts
 LENGTH = 1024
 GROUP = 4096
 END = 0
-_CACHE = 300_000
+#: Long texts are encoded in blocks of about so many characters, which bounds what a task holds beside the text.
+BLOCK = 1_000_000
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 _PIECE = "row long, doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
-class _Chunks(dict):
-    """Token ids, as bytes, of a space and the characters up to the next one; None where white space meets a space.
-
-    The tokenizer's pattern never joins characters across a single space that stands between two others, so texts may
-    be encoded part by part. The parts repeat a lot; the table is emptied when it is full.
-    """
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, part: str):
-        if len(self) >= _CACHE:
-            self.clear()
-        clean = part and not part[0].isspace() and not part[-1].isspace()
-        self[part] = ids = np.array(self.encode(f" {part}"), dtype="<u4").tobytes() if clean else None
-        return ids
-
-
 @cache
 def _tokenizer(tokenizer: str):
     from tokenizers import Tokenizer
@@ -55,29 +39,36 @@ def _tokenizer(tokenizer: str):
     return Tokenizer.from_file(tokenizer)
 
 
-def token_ids(text: str, parts: _Chunks, tokenizer: str, special: tuple[str, ...]) -> bytes:
+def _blocks(text: str) -> Iterator[str]:
+    """The text in blocks of about ``BLOCK`` characters, each cut before a space that stands between two others.
+
+    The tokenizer's pattern never joins characters across such a space, so blocks may be encoded by themselves.
+    """
+    start = 0
+    while cut := _CUT.search(text, start + BLOCK):
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
+def token_ids(text: str, encode: Callable[[str], list[int]], tokenizer: str, special: tuple[str, ...]) -> bytes:
     """The ids of a text as little-endian unsigned 32-bit numbers, the end id included."""
-    end = np.array([END], dtype="<u4").tobytes()
     if any(s in text for s in special):  # only the tokenizer itself knows its special tokens
-        ids = _tokenizer(tokenizer).encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes() + end
-    first, *rest = text.split(" ")
-    if not first or not first[-1].isspace():
-        found = [parts[p] for p in rest]
-        if None not in found and (first or not rest):
-            return b"".join([np.array(parts.encode(first), dtype="<u4").tobytes(), *found, end])
-    return np.array(parts.encode(text), dtype="<u4").tobytes() + end
+        found = [_tokenizer(tokenizer).encode(text, add_special_tokens=False).ids]
+    else:
+        found = map(encode, _blocks(text))
+    return b"".join(np.array(ids, dtype="<u4").tobytes() for ids in [*found, [END]])
 
 
 def pieces(documents: DataFrame, tokenizer: str, ranks: str, pattern: str, special: tuple[str, ...]) -> DataFrame:
     """Full sequences and remainders of every row, remainders with their ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = _Chunks(encoder(ranks, pattern).encode_ordinary)
+        encode = encoder(ranks, pattern).encode_ordinary
         for batch in chunks(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                ids = token_ids(text, parts, tokenizer, special)
+                ids = token_ids(text, encode, tokenizer, special)
                 n = len(ids) // 4
                 for start in range(0, n, LENGTH):
                     piece = ids[4 * start : 4 * (start + LENGTH)]

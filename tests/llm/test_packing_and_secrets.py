@@ -54,6 +54,19 @@ def test_odd_texts(docs_of, none):
     assert packing.pack(none, **V).count() == 0
 
 
+def test_blocks_of_a_long_text_give_its_ids(monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 3)
+    tokenizer, encode = Tokenizer.from_file(V["tokenizer"]), packing.encoder(V["ranks"], V["pattern"]).encode_ordinary
+    rnd = random.Random(9)
+    bits = [" ", " ", "  ", "\n", "\t", "a", "word", "don't", "12", "é", "漢字", "\u00a0", "\u3000", "\x1c", "\x85", "🙂", "!?", "_"]
+    for _ in range(2000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randrange(40)))
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert packing.token_ids(text, encode, V["tokenizer"], ()) == np.array(want, dtype="<u4").tobytes()
+        assert "".join(packing._blocks(text)) == text
+    assert len(list(packing._blocks("one two three four"))) == 4
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_costs_are_balanced_and_nothing_is_lost(seed):
     rnd = np.random.default_rng(seed)
