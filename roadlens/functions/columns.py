@@ -99,16 +99,17 @@ def range_label(c: Column | str, minutes: int = 5) -> Column:
 
     NULL when the text is malformed.
     """
-    two = lambda n: F.when(n < 10, F.concat(F.lit("0"), n.cast("string"))).otherwise(n.cast("string"))
+    # looked up by the minute: within a branch every use of a text, cut and cast, is computed anew
+    begins = [minute - minute % minutes for minute in range(60)]
+    begin = F.array(*[F.lit(f"{b:02d}") for b in begins])
+    end = F.array(*[F.lit(f"{b + minutes:02d}") for b in begins])
 
     def label(day: Column, hour: Column, m: Column, s: Column) -> Column:
-        minute = m.cast("int")
-        start = minute - minute % minutes
-        end = start + minutes
-        end_clock = F.when(end == 60, F.concat(two(hour.cast("int") + 1), F.lit(":00"))).otherwise(
-            F.concat(hour, F.lit(":"), two(end))
-        )
-        return _on_day(day, F.concat(day, F.lit(" "), hour, F.lit(":"), two(start), F.lit("~"), day, F.lit(" "), end_clock))
+        until = F.get(end, m.cast("int"))
+        next_hour = zero_pad((hour.cast("int") + 1).cast("string"), 2)
+        end_clock = F.when(until == "60", F.concat(next_hour, F.lit(":00"))).otherwise(F.concat(hour, F.lit(":"), until))
+        start = F.get(begin, m.cast("int"))
+        return _on_day(day, F.concat(day, F.lit(" "), hour, F.lit(":"), start, F.lit("~"), day, F.lit(" "), end_clock))
 
     return _from_parts(c, label)
 

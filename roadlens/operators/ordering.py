@@ -31,9 +31,15 @@ HOT_ROWS = 1_000_000
 PART_ROWS = 1_000_000
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys, and rows of keys with more than ``hot_rows`` rows. In a struct NULL keys match too."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+def split_hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of keys with more than ``hot_rows`` rows. In a struct NULL keys match too.
+
+    ``counted`` holds at least as many rows a key as ``df`` and is counted in its place: what ``df`` is derived from,
+    where that takes no shuffle.
+    """
+    counts = (df if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("_rows"))
     hot = counts.where(F.col("_rows") > hot_rows).select(F.struct(*keys).alias("_key"))
     hot = broadcast_if_small(store.staged(hot, "hot"))
     keyed = df.withColumn("_key", F.struct(*keys))
@@ -102,12 +108,13 @@ def ordered_lists(
     hot_rows: int = HOT_ROWS,
     part_rows: int = PART_ROWS,
     span: Column | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join the items of each key in order, ``part_rows`` to a row.
 
-    ``last`` is a column whose value at the last item of the part is kept.
+    ``last`` is a column whose value at the last item of the part is kept. ``counted``: see ``split_hot``.
     """
-    ordinary, hot = split_hot(df, keys, hot_rows)
+    ordinary, hot = split_hot(df, keys, hot_rows, counted)
     part = F.floor((F.col("pos") - 1) / part_rows).cast("bigint").alias("part")
 
     def join_items(grouped, by: Sequence[str]) -> DataFrame:

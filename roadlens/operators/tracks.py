@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.columns import lenient_seconds, range_label
 from roadlens.operators.ordering import HOT_ROWS, PART_ROWS, number_within, ordered_lists
+from roadlens.operators.sizing import MAX_ROWS, is_small
 from roadlens.sinks import store
 
 TIE = ("monitor_id", "camera_id")
@@ -77,13 +78,17 @@ def range_visits(passages: DataFrame, last_only: bool = True, tie: Sequence[str]
 
 
 def cars_per_range(
-    visits: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, part_rows: int = PART_ROWS
+    visits: DataFrame, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS, part_rows: int = PART_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Per checkpoint and range: 'car=time|car=time' by time, then car. Also renders stored and new visits together."""
+    """Per checkpoint and range: 'car=time|car=time' by time, then car. Also renders stored and new visits together.
+
+    ``counted`` are passages that the visits were chosen from; hot ranges are told by them.
+    """
     order, item = ["event_sec", "car", *tie], F.concat("car", F.lit("="), "action_time")
     return ordered_lists(
         visits, ["monitor_id", "range_time"], order, _slice(), item, "|", "cars", hot_rows=hot_rows, part_rows=part_rows,
-        span=_span(),
+        span=_span(), counted=counted,
     )
 
 
@@ -91,10 +96,14 @@ def monitor_5min_cars(
     passages: DataFrame, last_only: bool = True, tie: Sequence[str] = TIE, hot_rows: int = HOT_ROWS,
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    return cars_per_range(range_visits(passages, last_only, tie), tie, hot_rows, part_rows)
+    # a last visit is one of the passages in its range, so these are counted: without the shuffle that finds the last
+    counted = passages.select("monitor_id", range_label("action_time").alias("range_time")) if last_only else None
+    return cars_per_range(range_visits(passages, last_only, tie), tie, hot_rows, part_rows, counted)
 
 
-def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -> DataFrame:
+def companions(
+    passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300, broadcast_rows: int = MAX_ROWS
+) -> DataFrame:
     """Cars seen at the same checkpoint within ``gap_seconds`` of a wanted car, and how often.
 
     A passage counts once per wanted car, however often that car passed in the meantime. So the wanted side needs no
@@ -104,8 +113,9 @@ def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -
     linear in the passages even when one car or one checkpoint has a third of them. Where Spark does not know the size
     of ``wanted``, pass it through sizing.broadcast_if_small.
 
-    The buckets that wanted cars reach into are written once. Hashed to ``CELLS`` cells, which bounds what is broadcast,
-    they drop the passages that meet none of them before these are shuffled for the join.
+    The buckets that wanted cars reach into are written once and counted. Up to ``broadcast_rows`` of them are broadcast,
+    and no passage is shuffled for the join. More of them are hashed to ``CELLS`` cells, which bounds what is broadcast,
+    and these drop the passages that meet none of them before the rest is shuffled.
     """
     timed = passages.select("monitor_id", "car", lenient_seconds("action_time").alias("event_sec")).withColumn(
         "bucket", F.floor(F.col("event_sec") / gap_seconds)
@@ -121,10 +131,13 @@ def companions(passages: DataFrame, wanted: DataFrame, gap_seconds: int = 300) -
         .agg(F.max("r.until").alias("until"), F.min("r.since").alias("since"))
     )
     near = store.staged(near, "near")
-    cell = F.pmod(F.xxhash64("monitor_id", "bucket"), F.lit(CELLS)).alias("cell")
-    cells = near.select(cell).distinct()  # at most CELLS numbers
+    if is_small(near, broadcast_rows):
+        reached, near = timed, F.broadcast(near)
+    else:
+        cell = F.pmod(F.xxhash64("monitor_id", "bucket"), F.lit(CELLS)).alias("cell")
+        cells = near.select(cell).distinct()  # at most CELLS numbers
+        reached = timed.select("*", cell).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
     t = F.col("event_sec")
-    reached = timed.select("*", cell).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
     met = reached.join(near, ["monitor_id", "bucket"]).where(
         (F.col("car") != F.col("wanted_car")) & ((t <= F.col("until")) | (t >= F.col("since")))
     )

@@ -114,12 +114,33 @@ def test_monitor_flow_reads_the_fact_three_times(spark, folder, tmp_path, monkey
     assert sum("only_in_the_fact" in line and "Relation" in line for text in plans for line in text.splitlines()) == 3
 
 
+def companions_plan(spark, folder, broadcast_rows):
+    from roadlens.operators.tracks import companions
+    from roadlens.plans import inputs
+
+    return plan(companions(inputs.passages(spark, folder), inputs.watchlist(spark, folder), broadcast_rows=broadcast_rows))
+
+
+def test_few_buckets_of_wanted_cars_are_broadcast(spark, folder, without_broadcast):
+    text = companions_plan(spark, folder, 1_000_000)
+    assert "Exchange hashpartitioning(monitor_id" not in text and "Inner, BuildRight" in text and "cell#" not in text
+
+
 def test_passages_that_meet_no_wanted_car_leave_before_the_shuffle(spark, folder, without_broadcast):
-    text = plan(QUERIES["companion_pairs"](spark, folder))
+    text = companions_plan(spark, folder, 0)
     shuffle = text.index("Exchange hashpartitioning(monitor_id")
     assert "BroadcastHashJoin [cell#" in text[shuffle:] and "LeftSemi, BuildRight" in text[shuffle:]
 
 
+def test_hot_ranges_are_counted_without_the_shuffle_by_car(spark, folder, monkeypatch):
+    from roadlens.operators import ordering
+
+    plans, staged = [], ordering.store.staged
+    monkeypatch.setattr(ordering.store, "staged", lambda df, name: plans.append(plan(df)) or staged(df, name))
+    QUERIES["monitor_5min_cars"](spark, folder)
+    assert [text.count("Exchange hashpartitioning") for text in plans] == [1] and "car#" not in plans[0]
+
+
 def test_offsets_of_a_hot_key_run_over_days_and_over_seconds(spark):
     """Ten years of one key: no window of the two levels has all its seconds."""
     from pyspark.sql import functions as F
