@@ -113,6 +113,56 @@ def test_companions_of_a_hot_car_stay_linear(spark, make_passages):
     assert tracks.companions(make_passages(rows), wanted).first().n_passages == 12
 
 
+def crowd():
+    """Forty wanted cars and sixty others, most of them in a few buckets of one checkpoint; some rows lack a part."""
+    rows = [(f"C{i % 100:02d}", "m0", text(i * 7 % 900)) for i in range(700)]
+    rows += [("C07" if i % 2 else "C77", "m0", text(400)) for i in range(200)]
+    rows += [(f"C{i * 3 % 100:02d}", f"m{i % 5}", text(i * 97 % 20000)) for i in range(300)]
+    rows += [("C01", None, text(5)), ("C80", None, text(6)), (None, "m0", text(7)), ("C01", "m0", "late"), ("C80", "m0", None)]
+    return rows
+
+
+@pytest.mark.parametrize("pair_rows", [50, 1000, 10**6])
+def test_companions_in_slices(spark, make_passages, pair_rows):
+    """The same results whether the pairs are dealt to slices of a bucket, to tasks, or not at all."""
+    rows = crowd()
+    wanted = spark.createDataFrame([(f"C{i:02d}",) for i in range(40)] + [("C03",), (None,)], "car string")
+    found = tracks.companions(make_passages(rows), wanted, pair_rows=pair_rows).collect()
+    got = {(r.wanted_car, r.car, r.monitor_id): r.n_passages for r in found}
+    times = {}
+    for car, monitor, time in rows:
+        if car and monitor and time and time[0] == "2":
+            h, m, s = map(int, time.split(" ")[1].split(":"))
+            times.setdefault((monitor, car), []).append(h * 3600 + m * 60 + s)
+    want = {}
+    for (monitor, car), secs in times.items():
+        for (at, w), seen in times.items():
+            if at == monitor and w != car and w < "C40":
+                n = sum(any(abs(t - s) <= 300 for s in seen) for t in secs)
+                want.update({(w, car, monitor): n} if n else {})
+    assert got == want and len(found) == len(want) > 4000
+
+
+def test_a_task_holds_a_bounded_number_of_pairs(spark, make_passages):
+    """The fullest task of the join has few times pair_rows pairs, though all pairs are in one bucket."""
+    from pyspark.sql import types as T
+
+    rows = [(f"C{i:03d}", "m0", text(i % 250)) for i in range(400)]
+    wanted = spark.createDataFrame([(f"C{i:03d}",) for i in range(200)], "car string")
+    pair_rows, seen, met = 2000, [], tracks._met
+
+    def counted(reached, near, keys):
+        pairs = met(reached, near, keys)
+        seen.append(pairs.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0])
+        return pairs
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tracks, "_met", counted)
+        found = tracks.companions(make_passages(rows), wanted, pair_rows=pair_rows)
+    assert found.count() == 200 * 399 and seen[0] <= 4 * pair_rows
+    assert found.schema["n_passages"].dataType == T.LongType()
+
+
 def test_sample_of_an_hour_with_most_cars(make_passages):
     rows = [(f"C{i:04d}", "m", text(28800 + i % 3600)) for i in range(2000)]
     rows += [(f"C{i:04d}", "m", text(36000 + i)) for i in range(100)]
